@@ -8,10 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, cut_with
 from .graph import connected_components
 from .neighbours import (BLOCK_ROWS, Points, cosine_limit, distinct_points, linked_points,
-                         nearest_points, pairs_within)
+                         nearest_points, pairs_within, with_components)
 from .ranking import ordinal
 
 NOISE = -1
@@ -78,10 +78,11 @@ def threshold_groups(df: DataFrame, node: str, vec: str, threshold: float,
                              linked_points(p, cosine_limit(threshold), block_rows))
 
 
-def spread_components(df: DataFrame, node: str, p: Points, components: DataFrame) -> DataFrame:
+def spread_components(df: DataFrame, node: str, p: Points,
+                      linked: DataFrame | None) -> DataFrame:
     """From components of points to components of all rows."""
-    by_row = (p.members.join(components.withColumnRenamed("node", "point"), "point", "left")
-              .select(F.col("id").alias(node), F.coalesce("component", "point").alias("_c")))
+    by_row = with_components(p, linked).select(F.col("id").alias(node),
+                                               F.col("component").alias("_c"))
     return (df.select(F.col(node).cast("bigint").alias(node)).join(by_row, node, "left")
             .select(node, F.coalesce("_c", node).alias("component")))
 
@@ -106,12 +107,11 @@ def threshold_cuts(df: DataFrame, node: str, vec: str, thresholds: Sequence[floa
 def _dense_groups(p: Points, cores: DataFrame, epsilon: float, block_rows: int) -> DataFrame:
     """(point, component) of the points that are dense at ``epsilon``."""
     dense = cores.where(F.col("core") <= epsilon).select(F.col("point").alias("id"))
-    points = cut(p.points.join(dense, "id"), "dense")
-    inner = Points(points, p.members, p.metric, points.count(), p.has_copies)
-    linked = linked_points(inner, epsilon, block_rows)
-    return (points.select(F.col("id").alias("node")).join(linked, "node", "left")
-            .select(F.col("node").alias("point"),
-                    F.coalesce("component", "node").alias("component")))
+    points, seen = cut_with(p.points.join(dense, "id"), "dense", count=F.count(F.lit(1)))
+    identity = points.select("id", F.col("id").alias("point"))
+    inner = Points(points, identity, p.metric, seen["count"], p.has_copies)
+    return (with_components(inner, linked_points(inner, epsilon, block_rows))
+            .withColumnRenamed("id", "point"))
 
 
 def _sized(p: Points, groups: DataFrame, min_size: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from ..functions.vectors import as_vector
 from ..session import cut, scratch_path
 from .centroids import mean_vectors
 from .labels import merged_names
-from .neighbours import BLOCK_ROWS, Points, cosine_limit, distinct_points, linked_points
+from .neighbours import (BLOCK_ROWS, Points, cosine_limit, distinct_points, linked_points,
+                         with_components)
 
 # --- Fixed values: they decide results and must stay as they are. -------------
 TOP_THRESHOLD, LOW_THRESHOLD, THRESHOLD_STEP = 0.95, 0.5, 0.03
@@ -37,19 +39,16 @@ def as_nodes(df: DataFrame, node: str, vec: str, name: str) -> DataFrame:
 class Round:
     nodes: DataFrame    # what is left
     history: DataFrame  # child_id, parent_id, new_name
-    merges: int
 
 
-def _merge(nodes: DataFrame, p: Points, linked: DataFrame, round_no: int, stride: int,
+def _merge(nodes: DataFrame, p: Points, linked: DataFrame | None, round_no: int, stride: int,
            weight: str | None, namer: Callable[[DataFrame, str, str], DataFrame]) -> Round:
     """Replace every group of two or more nodes by its mean.
 
     A new node's number is round * stride + its smallest leaf: unique, larger
     than any before it, and the same however the rows are partitioned.
     """
-    groups = (p.members.join(linked.withColumnRenamed("node", "point"), "point", "left")
-              .select(F.col("id").alias("node_id"),
-                      F.coalesce("component", "point").alias("component")))
+    groups = with_components(p, linked).withColumnRenamed("id", "node_id")
     parents = (groups.groupBy("component")
                .agg(F.count("*").alias("n"),
                     (F.min(F.pmod("node_id", F.lit(stride))) + round_no * stride)
@@ -57,16 +56,15 @@ def _merge(nodes: DataFrame, p: Points, linked: DataFrame, round_no: int, stride
                .where("n > 1").select("component", "parent_id"))
     members = cut(groups.join(parents, "component").join(nodes, "node_id")
                   .select("parent_id", *NODES), "members")
-    names = namer(members, "parent_id", "name")
     leaves = members.groupBy("parent_id").agg(F.sum("leaves").alias("leaves"))
     created = cut(mean_vectors(members, ["parent_id"], "vec", weight)
-                  .join(leaves, "parent_id").join(names, "parent_id")
+                  .join(leaves, "parent_id").join(namer(members, "parent_id", "name"), "parent_id")
                   .select(F.col("parent_id").alias("node_id"), *NODES[1:]), "merged")
     left = nodes.join(members.select("node_id"), "node_id", "left_anti").select(*NODES)
     named = created.select(F.col("node_id").alias("parent_id"), F.col("name").alias("new_name"))
     history = (members.select(F.col("node_id").alias("child_id"), "parent_id")
-               .join(named, "parent_id"))
-    return Round(cut(left.unionByName(created), "nodes"), history, created.count())
+               .join(named, "parent_id").select("child_id", "parent_id", "new_name"))
+    return Round(cut(left.unionByName(created), "nodes"), history)
 
 
 def merge_round(nodes: DataFrame, threshold: float, weight: str | None = None,
@@ -104,45 +102,33 @@ def merge_ladder(nodes: DataFrame, levels: Sequence[float] | None = None,
     """
     spark: SparkSession = nodes.sparkSession
     levels = sorted(set(default_levels() if levels is None else levels), reverse=True)
-    history_path = scratch_path(spark, "history")
-    level_path = scratch_path(spark, "levels")
     nodes = cut(nodes.select(*NODES), "nodes")
     stride = _stride(nodes)
     p = distinct_points(nodes, "node_id", "vec")
-    summary: list[tuple] = []
-    round_no = 0
+    start, round_no = nodes.count(), 0
+    history, after_level = [], []
 
-    for at, level in enumerate(levels):
-        merges_here = 0
+    for level in levels:
+        rounds_before = round_no
         while True:
             linked = linked_points(p, cosine_limit(level), block_rows)
-            if not p.has_copies and linked.isEmpty():
+            if linked is None and not p.has_copies:
                 break
             round_no += 1
             done = _merge(nodes, p, linked, round_no, stride, weight, namer)
-            (done.history.select(F.lit(level).alias("level"), F.lit(round_no).alias("round"),
-                                 "child_id", "parent_id", "new_name")
-             .write.mode("append").parquet(history_path))
-            nodes, merges_here = done.nodes, merges_here + done.merges
-            p = distinct_points(nodes, "node_id", "vec")
-        if merges_here:
-            # One folder per level, which readers can prune.
-            (nodes.withColumn("level", F.lit(level)).write.mode("append")
-             .partitionBy("level").parquet(level_path))
-            summary.append((level, at, merges_here, nodes.count()))
-
-    levels_schema = "node_id bigint, name string, leaves bigint, vec array<double>, level double"
-    return Ladder(
-        final=nodes,
-        levels=_read(spark, level_path, levels_schema, bool(summary)),
-        history=_read(spark, history_path, HISTORY, bool(summary)),
-        summary=spark.createDataFrame(
-            summary, "level double, iteration int, n_merges bigint, n_clusters_remaining bigint"))
-
-
-def _read(spark: SparkSession, path: str, schema: str, written: bool) -> DataFrame:
-    return (spark.read.schema(schema).parquet(path) if written
-            else spark.createDataFrame([], schema))
+            nodes, p = done.nodes, distinct_points(done.nodes, "node_id", "vec")
+            history.append(done.history.select(
+                F.lit(level).alias("level"), F.lit(round_no).alias("round"), "child_id",
+                "parent_id", "new_name"))
+        if round_no > rounds_before:
+            after_level.append(nodes.withColumn("level", F.lit(level)))
+
+    empty = nodes.limit(0).withColumn("level", F.lit(0.0))
+    # Every part is a written table, so these unions only read files.
+    merges = cut(reduce(DataFrame.unionByName, history), "history") if history else (
+        spark.createDataFrame([], HISTORY))
+    return Ladder(nodes, reduce(DataFrame.unionByName, after_level, empty), merges,
+                  merge_summary(merges, start, levels))
 
 
 def merge_summary(history: DataFrame, start: int, levels: Sequence[float]) -> DataFrame:
@@ -161,16 +147,6 @@ def merge_summary(history: DataFrame, start: int, levels: Sequence[float]) -> Da
                     "n_clusters_remaining"))
 
 
-def nested_history(history: DataFrame) -> DataFrame:
-    """(level, merges): the history as one JSON array per level, for export."""
-    merges = (history.groupBy("level", "round", "parent_id", "new_name")
-              .agg(F.array_sort(F.collect_list("child_id")).alias("merged_from")))
-    record = F.struct(F.col("level").alias("threshold"), "round", "parent_id", "merged_from",
-                      "new_name")
-    return (merges.groupBy("level")
-            .agg(F.to_json(F.array_sort(F.collect_list(record))).alias("merges")))
-
-
 def lineage(leaves: DataFrame, history: DataFrame, node: str = "node_id") -> DataFrame:
     """(leaf_id, level, round, node_id): every node a leaf passes through.
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.matrices import DIGITS, as_matrix, measure, nearest, spanning_forest
 from ..functions.text import let
 from ..functions.vectors import as_vector, finite, squared_norm, unit
-from ..session import cut
+from ..session import cut, cut_with
 from .graph import connected_components
 from .ranking import top_k
 
@@ -64,16 +64,16 @@ def distinct_points(df: DataFrame, node: str, vec: str, metric: str = "cosine")
                      (unit(v) if metric == "cosine" else v).alias("v"))
     if metric == "cosine":
         rows = rows.where(F.exists("v", lambda x: x != 0))
-    points = cut(rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")),
-                 "points")
-    seen = points.agg(F.count("*"), F.max("copies")).first()
-    has_copies = (seen[1] or 1) > 1
+    points, seen = cut_with(
+        rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "points",
+        count=F.count(F.lit(1)), copies=F.max("copies"))
+    has_copies = (seen["copies"] or 1) > 1
     if not has_copies:
         members = points.select("id", F.col("id").alias("point"))
     else:
         members = (rows.join(points.select(F.col("id").alias("point"), "v"), "v")
                    .select("id", "point"))
-    return Points(points, members, metric, seen[0], has_copies)
+    return Points(points, members, metric, seen["count"], has_copies)
 
 
 class _Cells:
@@ -300,17 +300,28 @@ def pairs_within(p: Points, limit: float, emit: str = "pairs",
                     _within(limit, p.metric, emit))
 
 
-def linked_points(p: Points, limit: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(node, component) of the points that have a partner within ``limit``."""
-    stars = pairs_within(p, limit, "stars", block_rows)
+def linked_points(p: Points, limit: float, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
+    """(node, component) of the points that have a partner within ``limit``; None
+    when no point has one."""
+    stars, seen = cut_with(pairs_within(p, limit, "stars", block_rows), "stars",
+                           count=F.count(F.lit(1)))
+    if not seen["count"]:
+        return None
     if p.count > block_rows:
         return connected_components(stars)
     # One comparison saw all points, so its stars are the components.
-    stars = cut(stars, "stars")
     return (stars.select(F.col("j").alias("node"), F.col("i").alias("component"))
             .union(stars.select("i", "i").distinct()))
 
 
+def with_components(p: Points, linked: DataFrame | None) -> DataFrame:
+    """(id, component) of every row that has a point."""
+    if linked is None:
+        return p.members.select("id", F.col("point").alias("component"))
+    return (p.members.join(linked.withColumnRenamed("node", "point"), "point", "left")
+            .select("id", F.coalesce("component", "point").alias("component")))
+
+
 def cosine_limit(threshold: float) -> float:
     if not 0 < threshold <= 1:
         raise ValueError("a cosine threshold lies in (0, 1]")

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..operators.ladder import Ladder, as_nodes, lineage, merge_ladder, nested_history
+from ..operators.ladder import Ladder, as_nodes, lineage, merge_ladder
 from ..operators.ranking import ordinal
 from ..sources.centroid_files import load_centroids
-from ..sources.tables import write_json
 
 
 def run(spark: SparkSession, folder: str, out: str, **options) -> Ladder:
     """Merge the centroids of all configurations in ``folder`` down the ladder.
 
-    Writes the nodes per level and at the end, the merges as a flat table and
-    nested per level, the summary, and every original cluster's path.
+    Writes the nodes per level and at the end, the merges, the summary, and every original cluster's path.
     """
     loaded = load_centroids(spark, folder)
     leaves = ordinal(loaded, ["source_config", "cluster_id"], "node_id")
@@ -24,7 +22,8 @@ def run(spark: SparkSession, folder: str, out: str, **options) -> Ladder:
     ladder.levels.write.partitionBy("level").parquet(f"{out}/levels")
     ladder.final.write.parquet(f"{out}/final")
     ladder.history.write.parquet(f"{out}/history")
-    write_json(nested_history(ladder.history), f"{out}/history_json")
+    # As JSON, one record per merged node; a level is a folder.
+    ladder.history.write.partitionBy("level").json(f"{out}/history_json")
     ladder.summary.write.parquet(f"{out}/summary")
     lineage(nodes, ladder.history).write.parquet(f"{out}/lineage")
     return ladder

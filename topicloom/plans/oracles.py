@@ -227,7 +227,7 @@ def oracles() -> dict[str, str]:
     marked = " || ".join([
         lit("\\begin{abstract} \\emph{"), "source", lit("} "), "text",
         lit("\n ``na\\\"ive'' $\\alpha_"), "lang",
-        lit("$ l\\'eau \\cite \u3000\u00a0 \\end{abstract}")])
+        lit("$ l\\'eau \\cite \u3000\u00a0\u2028 \\end{abstract}")])
     sql = {}
 
     # Sources and sinks

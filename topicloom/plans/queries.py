@@ -179,7 +179,7 @@ def clean_text(spark, folder):
     """Document texts set in some LaTeX, so that every rule has work."""
     marked = F.concat(F.lit("\\begin{abstract} \\emph{"), F.col("source"), F.lit("} "),
                       F.col("text"), F.lit("\n ``na\\\"ive'' $\\alpha_"), F.col("lang"),
-                      F.lit("$ l\\'eau \\cite \u3000\u00a0 \\end{abstract}"))
+                      F.lit("$ l\\'eau \\cite \u3000\u00a0\u2028 \\end{abstract}"))
     return D.clean(read(spark, folder, "documents").withColumn("abstract", marked)).select(
         "doc_id", "clean_abstract")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -62,6 +62,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """Like `cut`, with aggregates taken while the rows are written."""
+    seen = Observation(name)
+    watched = df.observe(seen, *[metric.alias(key) for key, metric in metrics.items()])
+    return cut(watched, name), seen.get
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Hint a broadcast only when a row count proves the side small.
 

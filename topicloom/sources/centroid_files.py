@@ -30,13 +30,10 @@ def write_centroids(df: DataFrame, folder: str, neighbors: int, min_cluster_size
                                            for k in range(dims)])
      .write.option("header", True).option("compression", "gzip")
      .csv(f"{folder}/{CENTROIDS}{key}"))
-    # One object per part of the table; readers join the parts.
-    (df.groupBy(F.spark_partition_id().alias("_p"))
-     .agg(F.map_from_entries(F.collect_list(F.struct(F.col(cluster).cast("string"), name)))
-          .alias("cluster_names"))
-     .select(F.struct(F.lit(neighbors).alias("umap_neighbors"),
-                      F.lit(min_cluster_size).alias("hdb_min_cluster_size")).alias("config"),
-             "cluster_names")
+    # One line per cluster; a metadata file that holds one large object reads as well.
+    (df.select(F.struct(F.lit(neighbors).alias("umap_neighbors"),
+                        F.lit(min_cluster_size).alias("hdb_min_cluster_size")).alias("config"),
+               F.create_map(F.col(cluster).cast("string"), F.col(name)).alias("cluster_names"))
      .write.json(f"{folder}/{METADATA}{key}"))
 
 
@@ -47,8 +44,13 @@ def _key(prefix: str):
 
 def read_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """(key, source_config, cluster_id, cluster_name): one row per named cluster."""
-    read = (spark.read.schema(META_SCHEMA).option("multiLine", True)
-            .json(f"{folder}/{METADATA}*").select(_key(METADATA).alias("key"), "*"))
+    def metadata(pattern: str, multi_line: bool) -> DataFrame:
+        return (spark.read.schema(META_SCHEMA).option("multiLine", multi_line)
+                .option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(folder)
+                .where(F.col("_metadata.file_path").contains(f"/{METADATA}"))
+                .select(_key(METADATA).alias("key"), "config", "cluster_names"))
+
+    read = metadata(f"{METADATA}*.json", True).unionByName(metadata("part-*.json*", False))
     return read.select(
         "key", F.concat_ws("_", "config.umap_neighbors", "config.hdb_min_cluster_size")
         .alias("source_config"),
