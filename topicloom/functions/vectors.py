@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import counted, let, tokens
@@ -19,6 +21,16 @@ def parse_vector(c: Column) -> Column:
     return F.from_json(c, "array<double>")
 
 
+def entries(df: DataFrame, keep: Sequence[str | Column], vec: str) -> DataFrame:
+    """(keep..., pos, x): one row per vector entry.
+
+    The outer form keeps the optimizer from adding a size test below, which
+    would compute the vector expression a second time.
+    """
+    return (df.select(*keep, F.posexplode_outer(as_vector(F.col(vec))).alias("pos", "x"))
+            .where(F.col("pos").isNotNull()))
+
+
 def finite(v: Column) -> Column:
     """NaN, infinities and missing entries become 0."""
     return F.transform(v, lambda x: F.when(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import as_vector
+from ..functions.vectors import entries
 
 
 def mean_vectors(df: DataFrame, group: Sequence[str], vec: str,
@@ -19,11 +19,10 @@ def mean_vectors(df: DataFrame, group: Sequence[str], vec: str,
     """
     x = F.when(~F.isnan("x"), F.col("x"))
     w = F.col("_w") if weight else F.lit(1.0)
-    entries = (df.select(*group, *([F.col(weight).cast("double").alias("_w")] if weight else []),
-                         F.posexplode(as_vector(F.col(vec))).alias("pos", "x"))
-               .groupBy(*group, "pos")
-               .agg((F.sum(x * w) / F.sum(F.when(x.isNotNull(), w))).alias("mean")))
-    return (entries.groupBy(*group)
+    keep = [*group, *([F.col(weight).cast("double").alias("_w")] if weight else [])]
+    means = (entries(df, keep, vec).groupBy(*group, "pos")
+             .agg((F.sum(x * w) / F.sum(F.when(x.isNotNull(), w))).alias("mean")))
+    return (means.groupBy(*group)
             .agg(F.array_sort(F.collect_list(F.struct("pos", "mean"))).alias("m"))
             .select(*group, F.transform("m", lambda e: F.coalesce(e["mean"], F.lit(0.0)))
                     .alias(out)))

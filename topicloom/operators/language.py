@@ -5,26 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import counted
 from ..session import broadcast_if_small, cut
 from .ranking import top_k
 
 PROFILE_GRAMS = 2000  # trigrams a language's profile keeps
 
 
-def trigrams(text: Column) -> Column:
-    """Every run of three characters of the lowered text, where whatever is not a
-    letter counts as one space. Null text and text without letters have none."""
-    letters = F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")
-    padded = F.concat(F.lit(" "), F.trim(letters), F.lit(" "))
-    # A look-ahead finds overlapping runs in one pass over the text.
-    return F.when(F.length(padded) > 2,
-                  F.regexp_extract_all(padded, F.lit("(?=(...))"), F.lit(1)))
+def letters_only(text: Column) -> Column:
+    """The lowered text between spaces; whatever is not a letter counts as one space."""
+    letters = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
+    return F.concat(F.lit(" "), letters, F.lit(" "))
 
 
-def _grams(df: DataFrame, text: str, *keep: str) -> DataFrame:
-    return (df.select(*keep, F.explode(counted(trigrams(F.col(text)))).alias("g"))
-            .select(*keep, F.col("g.term").alias("gram"), F.col("g.tf").alias("n")))
+def trigrams(letters: Column) -> Column:
+    """Every run of three characters. A look-ahead finds overlapping runs in one
+    pass; a text without a letter has none."""
+    return F.regexp_extract_all(letters, F.lit("(?=(...))"), F.lit(1))
 
 
 def language_profiles(df: DataFrame, text: str, lang: str,
@@ -35,8 +31,9 @@ def language_profiles(df: DataFrame, text: str, lang: str,
     smoothed log probabilities: ``base`` for a trigram outside of it, and
     ``gain`` on top for one inside. Its size does not grow with the data.
     """
-    counts = _grams(df, text, lang).groupBy(F.col(lang).alias("lang"), "gram").agg(
-        F.sum("n").alias("n"))
+    letters = df.select(F.col(lang).alias("lang"), letters_only(F.col(text)).alias("letters"))
+    counts = (letters.select("lang", F.explode(trigrams(F.col("letters"))).alias("gram"))
+              .groupBy("lang", "gram").agg(F.count("*").alias("n")))
     top = top_k(counts, ["lang"], [F.desc("n"), F.asc("gram")], size, rank="_r",
                 salt=F.col("gram")).drop("_r")
     top = cut(top, "profiles")
@@ -50,19 +47,20 @@ def language_id(df: DataFrame, doc: str, text: str, profiles: DataFrame) -> Data
     """(doc, language, score): the best-scored language per text.
 
     The score is the mean log probability of the text's trigrams. Ties go by
-    language name. Texts without a letter get a null language.
+    language name. Texts without a known trigram get a null language.
     """
     profiles = cut(profiles, "profiles")
-    bases = profiles.select("lang", "base").distinct()
-    seen = _grams(df, text, doc)
-    # Grams outside every profile only count: they weigh the same per language.
+    bases = cut(profiles.select("lang", "base").distinct(), "bases")
+    # The length is taken below the explode, else every trigram would carry the text.
+    letters = df.select(doc, letters_only(F.col(text)).alias("letters"))
+    sized = letters.select(doc, "letters", (F.length("letters") - 2).alias("length"))
+    seen = sized.select(doc, "length", F.explode(trigrams(F.col("letters"))).alias("gram"))
+    # A gram outside a profile adds nothing to the base score. A text's sums are
+    # complete inside its task, one row per language leaves it.
     gains = (seen.join(broadcast_if_small(profiles.select("lang", "gram", "gain")), "gram")
-             .groupBy(doc, "lang").agg(F.sum(F.col("n") * F.col("gain")).alias("gain")))
-    length = df.select(doc, F.size(F.coalesce(trigrams(F.col(text)), F.array().cast(
-        "array<string>"))).alias("length"))
-    scored = (gains.join(broadcast_if_small(bases), "lang").join(length, doc)
-              .select(doc, "lang", F.round(F.col("base") + F.col("gain") / F.col("length"), 6)
-                      .alias("score")))
+             .groupBy(doc, "length", "lang").agg(F.sum("gain").alias("gain")))
+    scored = gains.join(broadcast_if_small(bases), "lang").select(
+        doc, "lang", F.round(F.col("base") + F.col("gain") / F.col("length"), 6).alias("score"))
     best = top_k(scored, [doc], [F.desc("score"), F.asc("lang")], 1).drop("rank")
     return (df.select(doc).join(best, doc, "left")
             .select(doc, F.col("lang").alias("language"), "score"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import counted, is_blank, tokens, without
@@ -71,12 +71,9 @@ def tfidf_terms(df: DataFrame, group: str, doc: str, text: str, top_n: int = TOP
 
     weighted = (terms.join(broadcast_if_small(weights), [group, "term"])
                 .select(group, doc, "term", (F.col("tf") * F.col("idf")).alias("x")))
-    # A document becomes one row of at most max_features terms before it moves.
-    rows = weighted.groupBy(group, doc).agg(
-        F.collect_list(F.struct("term", "x")).alias("terms"),
-        F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    scores = (rows.select(group, "norm", F.explode("terms").alias("t"))
-              .groupBy(group, F.col("t.term").alias("term"))
-              .agg(F.round(F.sum(F.col("t.x") / F.col("norm")), 6).alias("score")))
+    # At most max_features rows per document.
+    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(group, doc)))
+    scores = (weighted.select(group, "term", (F.col("x") / norm).alias("share"))
+              .groupBy(group, "term").agg(F.round(F.sum("share"), 6).alias("score")))
     return (top_k(scores, [group], [F.desc("score"), F.asc("term")], top_n)
             .select(group, "rank", "term", "score"))

@@ -46,8 +46,9 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def long_form(df: DataFrame, ids: Sequence[str], vec: str, *more: str) -> DataFrame:
-    return (df.select(*ids, *more, F.posexplode(V.as_vector(F.col(vec))).alias("pos", "value"))
-            .withColumns({"pos": F.col("pos").cast("bigint"), "value": F.round("value", 6)}))
+    return (V.entries(df, [*ids, *more], vec)
+            .select(*ids, *more, F.col("pos").cast("bigint").alias("pos"),
+                    F.round("x", 6).alias("value")))
 
 
 # --- Derived inputs, one row per given row ------------------------------------
@@ -79,8 +80,10 @@ def noisy_labels(spark, folder, limit: float = 0.1) -> DataFrame:
 
 
 def hashed(spark, folder) -> DataFrame:
-    return read(spark, folder, "documents").select(
-        "doc_id", "lang", "source", V.hash_embed(F.col("text")).alias("vec"))
+    """Hashed text vectors, written once as the pipelines do: the operators read
+    their input more than once."""
+    return cut(read(spark, folder, "documents").select(
+        "doc_id", "lang", "source", V.hash_embed(F.col("text")).alias("vec")), "hashed")
 
 
 def topic_nodes(spark, folder) -> DataFrame:
