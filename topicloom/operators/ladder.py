@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import as_vector
-from ..session import cut, scratch_path
+from ..session import cut, cut_with, scratch_path
 from .centroids import mean_vectors
 from .labels import merged_names
 from .neighbours import (BLOCK_ROWS, Points, cosine_limit, distinct_points, linked_points,
@@ -159,10 +159,10 @@ def lineage(leaves: DataFrame, history: DataFrame, node: str = "node_id") -> Dat
     moves = history.select("child_id", F.col("parent_id").alias("to"),
                            F.col("level").alias("l"), F.col("round").alias("r"))
     while True:
-        step = cut(step, "lineage-step")
-        if step.isEmpty():
-            break
+        step, seen = cut_with(step, "lineage-step", count=F.count(F.lit(1)))
         step.write.mode("append").parquet(path)
+        if not seen["count"]:
+            break
         step = (step.join(moves, F.col("node_id") == F.col("child_id"))
                 .select("leaf_id", F.col("l").alias("level"), F.col("r").alias("round"),
                         F.col("to").alias("node_id")))

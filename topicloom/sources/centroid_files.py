@@ -38,8 +38,9 @@ def write_centroids(df: DataFrame, folder: str, neighbors: int, min_cluster_size
 
 
 def _key(prefix: str):
-    return F.regexp_extract("_metadata.file_path", rf"{prefix}([^/]+?)(?:\.csv\.gz|\.json)?(?:/|$)",
-                            1)
+    """What follows the prefix in the name of a file, or of the folder of its parts."""
+    name = rf"/{prefix}([^/]+?)(?:\.csv\.gz|\.json)?(?:/part-[^/]*)?$"
+    return F.regexp_extract("_metadata.file_path", name, 1)
 
 
 def read_metadata(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,7 +48,7 @@ def read_metadata(spark: SparkSession, folder: str) -> DataFrame:
     def metadata(pattern: str, multi_line: bool) -> DataFrame:
         return (spark.read.schema(META_SCHEMA).option("multiLine", multi_line)
                 .option("recursiveFileLookup", True).option("pathGlobFilter", pattern).json(folder)
-                .where(F.col("_metadata.file_path").contains(f"/{METADATA}"))
+                .where(_key(METADATA) != "")
                 .select(_key(METADATA).alias("key"), "config", "cluster_names"))
 
     read = metadata(f"{METADATA}*.json", True).unionByName(metadata("part-*.json*", False))
