@@ -21,7 +21,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Hang a node's larger neighbours on the smallest node it knows."""
     both = edges.select(F.col("root").alias("node"), F.col("child").alias("other")).union(
         edges.select("child", "root"))
-    low = both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("low"))
+    low = (both.groupBy("node").agg(F.min("other").alias("other"))
+           .select("node", F.least("node", "other").alias("low")))
     return (edges.join(low, edges["root"] == low["node"])
             .select(F.col("low").alias("root"), "child").distinct())
 

@@ -61,10 +61,12 @@ def cluster_info(df: DataFrame, cluster: str, doc: str, text: str, top_n: int =
 def label_docs(df: DataFrame, info: DataFrame, cluster: str) -> DataFrame:
     """Add name and summary to documents; noise keeps nulls.
 
-    One row of ``info`` per cluster. It is broadcast only after a count; else
-    the join is by key, and adaptive execution splits a crowded cluster.
+    One row of ``info`` per cluster. It is written, and broadcast only after a
+    count; else the join is by key, and adaptive execution splits a crowded
+    cluster.
     """
-    return df.join(broadcast_if_small(info.select(cluster, "name", "summary")), cluster, "left")
+    names = cut(info.select(cluster, "name", "summary"), "names")
+    return df.join(broadcast_if_small(names), cluster, "left")
 
 
 def unlabelled(df: DataFrame) -> DataFrame:
@@ -80,8 +82,7 @@ def relabel(df: DataFrame, cluster: str, doc: str, text: str, **options) -> Data
     if unlabelled(df.where(F.col(cluster) != NOISE)).isEmpty():
         return None
     bare = df.drop("name", "summary")
-    return label_docs(bare, cut(cluster_info(bare, cluster, doc, text, **options), "info"),
-                      cluster)
+    return label_docs(bare, cluster_info(bare, cluster, doc, text, **options), cluster)
 
 
 def first_texts(df: DataFrame, cluster: str, order: Sequence[str], text: str,

@@ -11,8 +11,8 @@ from ..session import cut
 
 # Up to this k the optimizer limits each group before the shuffle by itself.
 OPTIMIZER_LIMITS_UP_TO = 1000
-# Up to this many rows a sample or listing is a plain top-n.
-TOP_N_UP_TO = 100_000
+# Up to this many rows one task may order a sample or a list of ids.
+TOP_N_UP_TO = 10_000
 
 
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,

@@ -211,6 +211,52 @@ dist AS MATERIALIZED (SELECT a.doc_id AS i, b.doc_id AS j, list_distance(a.vec,
 cores AS MATERIALIZED (SELECT i AS node, d AS core FROM (
     SELECT i, d, row_number() OVER (PARTITION BY i ORDER BY d) AS r FROM dist) WHERE r = 4)"""
 
+def keyed_components(name: str, nodes: str, edges: str, key: str = "") -> str:
+    """name([key,] node, root): smallest node reachable, by keyed recursion."""
+    k = f"{key}, " if key else ""
+    same = f" AND {{0}}.{key} = l.{key}" if key else ""
+    b_key = f"b.{key} AS {key}, " if key else ""
+    group = f"b.{key}, b.j" if key else "b.j"
+    return f"""
+{name}_b AS MATERIALIZED (SELECT {k}i, j FROM {edges} UNION SELECT {k}j, i FROM {edges}),
+{name}({k}node, root) USING KEY ({k}node) AS (
+  SELECT {k}node, node AS root FROM {nodes}
+  UNION
+  SELECT {b_key}b.j AS node, min(l.root) AS root
+  FROM {name} l JOIN {name}_b b ON b.i = l.node{same.format("b")}
+       JOIN recurring.{name} m ON m.node = b.j{same.format("m")}
+  WHERE l.root < m.root GROUP BY {group})"""
+
+
+def density_leaves(radii: list[float]) -> str:
+    radii = sorted(radii, reverse=True)
+    values = ", ".join(f"({r}::DOUBLE)" for r in radii)
+    steps, state = [f"s0 AS (SELECT node, root AS leaf FROM kept WHERE r = {radii[0]}::DOUBLE)"], "s0"
+    for n, r in enumerate(radii[1:], 1):
+        steps.append(f"""k{n} AS (SELECT node, root FROM kept WHERE r = {r}::DOUBLE),
+p{n} AS (SELECT leaf, count(DISTINCT root) AS parts FROM {state} JOIN k{n} USING (node) GROUP BY leaf),
+s{n} AS MATERIALIZED (SELECT node, leaf FROM (
+  SELECT s.node, CASE WHEN coalesce(parts, 0) >= 2 THEN k.root ELSE s.leaf END AS leaf
+  FROM {state} s LEFT JOIN k{n} k ON k.node = s.node LEFT JOIN p{n} p ON p.leaf = s.leaf)
+  WHERE leaf IS NOT NULL)""")
+        state = f"s{n}"
+    joined = ",\n".join(steps)
+    return f"""
+WITH RECURSIVE {HASHED}, {CORES},
+radii(r) AS (VALUES {values}),
+dense AS MATERIALIZED (SELECT r, node FROM radii JOIN cores ON core <= r),
+links AS MATERIALIZED (SELECT a.r, i, j FROM dist JOIN dense a ON a.node = i AND d <= a.r
+  JOIN dense b ON b.node = j AND b.r = a.r WHERE i < j),
+{keyed_components("lab", "dense", "links", "r")},
+big AS (SELECT r, root FROM lab GROUP BY r, root HAVING count(*) >= 10),
+kept AS MATERIALIZED (SELECT lab.r, node, lab.root FROM lab JOIN big ON lab.r = big.r AND lab.root = big.root),
+{joined},
+number AS (SELECT leaf, row_number() OVER (ORDER BY leaf) - 1 AS cluster_id
+           FROM (SELECT DISTINCT leaf FROM {state}))
+SELECT h.doc_id, coalesce(n.cluster_id, -1)::BIGINT AS cluster_id
+FROM hashed h LEFT JOIN {state} s ON s.node = h.doc_id LEFT JOIN number n ON n.leaf = s.leaf"""
+
+
 FUNNEL = f"""{TITLED},
 not_empty AS (SELECT doc_id, coalesce(title, '') AS title, coalesce(abstract, '') AS abstract
   FROM titled WHERE regexp_matches(coalesce(title, ''), '{NOT_SPACE}')
@@ -370,6 +416,7 @@ big AS (SELECT component, row_number() OVER (ORDER BY component) - 1 AS cluster_
         FROM comp GROUP BY component HAVING count(*) >= 10)
 SELECT h.doc_id, coalesce(b.cluster_id, -1)::BIGINT AS cluster_id
 FROM hashed h LEFT JOIN comp c ON c.node = h.doc_id LEFT JOIN big b USING (component)"""
+    sql["density_leaves"] = density_leaves([0.8, 0.7, 0.6, 0.5, 0.4, 0.3])
     runs = " UNION ALL ".join(f"SELECT {n}::BIGINT AS config, vec_id, cluster_id FROM ({noisy(t)})"
                               for n, t in enumerate([0.0, 0.1, 0.2, 0.2]))
     scores = f"""SELECT config, n_clusters, n_outliers,

@@ -405,7 +405,7 @@ def cluster_info(spark, folder):
 
 @query
 def label_docs(spark, folder):
-    return labels.label_docs(clustered(spark, folder), cut(info(spark, folder)), "cluster_id").select(
+    return labels.label_docs(clustered(spark, folder), info(spark, folder), "cluster_id").select(
         "doc_id", "cluster_id", "name", "summary")
 
 

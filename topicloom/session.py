@@ -69,7 +69,7 @@ def cut_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, di
     return cut(watched, name), seen.get
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     """Hint a broadcast only when a row count proves the side small.
 
     Meant for tables that are cheap to count, such as the result of `cut`.
