@@ -8,6 +8,7 @@ from pathlib import Path
 import pyspark
 from pyspark import SparkContext
 
+from ..operators.ladder import default_levels
 from ..operators.labels import LABEL_PROMPT, MERGE_PROMPT, SUMMARY_PROMPT
 from ..operators.tfidf import EXTRA_STOP_WORDS, stop_words
 from . import queries as Q
@@ -257,6 +258,51 @@ SELECT h.doc_id, coalesce(n.cluster_id, -1)::BIGINT AS cluster_id
 FROM hashed h LEFT JOIN {state} s ON s.node = h.doc_id LEFT JOIN number n ON n.leaf = s.leaf"""
 
 
+def ladder(levels: list[float], rounds_per_level: int = 4) -> tuple[str, str, str]:
+    """The rounds of the ladder one after the other: the common tables, the
+    history, and the nodes after each level.
+
+    Loops do not nest in SQL, so every level gets a fixed number of rounds; the
+    last one must find nothing, as it does on the given tables.
+    """
+    steps = ["n0 AS MATERIALIZED (SELECT node, name, 1::BIGINT AS leaves, vec FROM nodes)",
+             "c0 AS MATERIALIZED (SELECT 0 AS rn)",
+             "stride AS MATERIALIZED (SELECT max(node) + 1 AS s FROM nodes)"]
+    history, after = [], []
+    k = 0
+    for t in levels:
+        first = k
+        for _ in range(rounds_per_level):
+            p, k = k, k + 1
+            steps += [f"""e{k} AS MATERIALIZED (SELECT a.node AS i, b.node AS j FROM n{p} a JOIN n{p} b
+  ON a.node < b.node AND list_dot_product(a.vec, b.vec)
+     / sqrt(list_dot_product(a.vec, a.vec) * list_dot_product(b.vec, b.vec)) >= {t})""",
+                      keyed_components(f"l{k}", f"n{p}", f"e{k}"), f"""
+g{k} AS MATERIALIZED (SELECT root, min(node % (SELECT s FROM stride))
+    + ((SELECT rn FROM c{p}) + 1) * (SELECT s FROM stride) AS parent
+  FROM l{k} GROUP BY root HAVING count(*) > 1)""",
+                      f"c{k} AS MATERIALIZED (SELECT rn + (SELECT count(*) > 0 FROM g{k})::INT AS rn FROM c{p})",
+                      f"""m{k} AS MATERIALIZED (SELECT g.parent AS g, n.* FROM l{k} l
+  JOIN g{k} g ON g.root = l.root JOIN n{p} n ON n.node = l.node)""",
+                      f"""w{k} AS MATERIALIZED (SELECT g, w, count(*) AS n
+  FROM (SELECT g, unnest(string_split(name, ' ')) AS w FROM m{k}) WHERE w NOT IN ('', '/') GROUP BY g, w)""",
+                      f"""t{k} AS MATERIALIZED (SELECT g, string_agg(w, ' / ' ORDER BY r) AS name FROM (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY n DESC, w) AS r FROM w{k}) WHERE r <= 3 GROUP BY g)""",
+                      f"""v{k} AS MATERIALIZED (SELECT g, list(x ORDER BY pos) AS vec FROM (
+  SELECT g, pos, avg(x) AS x FROM (SELECT g, unnest(vec) AS x, unnest(range(64)) AS pos FROM m{k})
+  GROUP BY g, pos) GROUP BY g)""",
+                      f"""z{k} AS MATERIALIZED (SELECT g, sum(leaves)::BIGINT AS leaves FROM m{k} GROUP BY g)""",
+                      f"""n{k} AS MATERIALIZED (
+  SELECT * FROM n{p} WHERE node NOT IN (SELECT node FROM m{k})
+  UNION ALL SELECT g, name, leaves, vec FROM t{k} JOIN z{k} USING (g) JOIN v{k} USING (g))"""]
+            history.append(f"""SELECT {t}::DOUBLE AS level, (SELECT rn FROM c{k}) AS round,
+  m.node AS child_id, m.g AS parent_id, t.name AS new_name FROM m{k} m JOIN t{k} t USING (g)""")
+        after.append(f"""SELECT {t}::DOUBLE AS level, * FROM n{k}
+  WHERE (SELECT rn FROM c{k}) > (SELECT rn FROM c{first})""")
+    return (f"WITH RECURSIVE {TOPIC_NODES},\n" + ",\n".join(steps),
+            "\nUNION ALL ".join(history), "\nUNION ALL ".join(after))
+
+
 FUNNEL = f"""{TITLED},
 not_empty AS (SELECT doc_id, coalesce(title, '') AS title, coalesce(abstract, '') AS abstract
   FROM titled WHERE regexp_matches(coalesce(title, ''), '{NOT_SPACE}')
@@ -480,6 +526,24 @@ SELECT g::BIGINT AS node_id, name, leaves, pos::BIGINT AS pos, round(x, 6) AS va
 FROM merged JOIN named USING (g) JOIN sizes USING (g)
 UNION ALL SELECT node, name, 1, pos, round(x, 6) FROM kept"""
 
+    steps, history, after = ladder(default_levels())
+    sql["merge_ladder"] = f"""{steps}, levels AS ({after})
+SELECT level, node AS node_id, name, leaves, pos::BIGINT AS pos, round(x, 6) AS value
+FROM (SELECT level, node, name, leaves, unnest(vec) AS x, unnest(range(64)) AS pos FROM levels)"""
+    sql["merge_history"] = f"{steps} {history}"
+    places = ", ".join(f"({t}::DOUBLE, {n})" for n, t in enumerate(default_levels()))
+    sql["merge_summary"] = f"""{steps}, h AS MATERIALIZED ({history}),
+places(level, iteration) AS (VALUES {places}),
+per_level AS (SELECT level, count(DISTINCT parent_id) AS n_merges, count(*) AS gone FROM h GROUP BY level)
+SELECT level, iteration, n_merges, ((SELECT count(*) FROM nodes) - sum(gone - n_merges)
+       OVER (ORDER BY level DESC))::BIGINT AS n_clusters_remaining
+FROM per_level JOIN places USING (level)"""
+    sql["lineage"] = f"""{steps}, h AS MATERIALIZED ({history}),
+up(leaf_id, level, round, node_id) AS (
+  SELECT node, NULL::DOUBLE, 0, node FROM nodes
+  UNION ALL SELECT u.leaf_id, h.level, h.round, h.parent_id FROM up u JOIN h ON h.child_id = u.node_id)
+SELECT * FROM up"""
+
     # Plot data
     grid = f"""WITH p AS (SELECT embedding[1] AS x, embedding[2] AS y, cluster_id::VARCHAR AS cluster_id
                           FROM ({noisy()})),
