@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, url_filters
+from . import exact_dedup, mixing, near_dedup, substring_dedup, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,6 +24,12 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_near_dedup(spark, folder):
+    return near_dedup.near_groups(read(spark, folder, "documents")).withColumn(
+        "kept", F.col("doc_id") == F.col("component_id"))
+
+
 @query
 def op3_mixing(spark, folder):
     plan = mixing.mix_plan(read(spark, folder, "documents"))
@@ -31,6 +37,11 @@ def op3_mixing(spark, folder):
                        (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+@query
+def op5_substring_dedup(spark, folder):
+    return substring_dedup.drop_repeats(read(spark, folder, "documents")).drop("kept_text")
+
+
 @query
 def op8_url_filters(spark, folder):
     """Pages are labelled through the document of the same number: bad when its
