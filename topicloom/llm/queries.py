@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, substring_dedup, url_filters
+from ..session import cut, scratch_path
+from . import decontamination, exact_dedup, html_text, language_id, language_model, mixing
+from . import near_dedup, substring_dedup, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -30,6 +32,16 @@ def op1_near_dedup(spark, folder):
         "kept", F.col("doc_id") == F.col("component_id"))
 
 
+@query
+def op2_language_id(spark, folder):
+    docs = read(spark, folder, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    model = language_id.fit(docs.where(~held_out))
+    asked = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return language_id.predict(asked, model).select("doc_id", "held_out", "lang_pred", "score",
+                                                    "accepted")
+
+
 @query
 def op3_mixing(spark, folder):
     plan = mixing.mix_plan(read(spark, folder, "documents"))
@@ -37,11 +49,42 @@ def op3_mixing(spark, folder):
                        (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+@query
+def op4_warc_fixity(spark, folder):
+    """Pages as WARC files in two replicas. In the second, records of keys that leave 7
+    when divided by 97 are damaged and those that leave 5 when divided by 101 are
+    missing; the audit locates them."""
+    pages = read(spark, folder, "pages")
+    rows = cut(warc.placed(pages, "page_id", "url", "html", per_file=1000), "warc")
+    good, bad = scratch_path(spark, "replica"), scratch_path(spark, "replica")
+    warc.write_warc(rows, good)
+    body = F.col("record")
+    damaged = rows.where(F.pmod("key", F.lit(101)) != 5).withColumn("record", F.when(
+        F.pmod("key", F.lit(97)) == 7, F.concat(F.lit("warc-type: "), body.substr(
+            F.lit(12), F.length(body) - 11))).otherwise(body))
+    warc.write_warc(damaged, bad)
+    found = warc.fixity(rows.select("key", "file", "offset", "length"),
+                        warc.read_warc(spark, good), warc.read_warc(spark, bad))
+    return found.select(F.col("key").alias("page_id"), "file", "offset", "length", "status")
+
+
 @query
 def op5_substring_dedup(spark, folder):
     return substring_dedup.drop_repeats(read(spark, folder, "documents")).drop("kept_text")
 
 
+@query
+def op6_html_text(spark, folder):
+    pages = read(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query
+def op7_decontamination(spark, folder):
+    return decontamination.flag(read(spark, folder, "documents"),
+                                read(spark, folder, "benchmark"))
+
+
 @query
 def op8_url_filters(spark, folder):
     """Pages are labelled through the document of the same number: bad when its
@@ -54,6 +97,14 @@ def op8_url_filters(spark, folder):
         F.round("bound", 6).alias("bound"))
 
 
+@query
+def op9_language_model(spark, folder):
+    docs = read(spark, folder, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    model, rare = language_model.fit(docs.where(~held_out))
+    return language_model.score(docs, model, rare, held_out)
+
+
 @query
 def op10_exact_dedup(spark, folder):
     found = exact_dedup.exact_groups(read(spark, folder, "documents"))
