@@ -189,3 +189,22 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", pred: str
     out = rows.mapInArrow(run, f"_row {row}, p string, s double, a boolean")
     return out.select("_row.*", F.col("p").alias(pred), F.col("s").alias(score),
                       F.col("a").alias(accepted))
+
+
+def keep_accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model accepts, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    order = docs.columns
+    rows = docs.select(F.lower(F.col(text).cast("string")).cast("binary").alias("_asked"),
+                       F.struct(*[F.col(f"`{c}`") for c in order]).alias("_row")).where(
+        has_letter(F.col(f"_row.`{text}`")))
+    row = rows.schema["_row"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            good = [bool(m.languages) and m.probabilities(subwords(t.as_py())).max() >= m.threshold
+                    for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1)], ["_row"]).filter(
+                pa.array(good, pa.bool_()))
+    return rows.mapInArrow(run, f"_row {row}").select("_row.*")
