@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut, scratch_path
+from ..session import scratch_path
 from . import decontamination, exact_dedup, html_text, language_id, language_model, mixing
 from . import near_dedup, substring_dedup, url_filters, warc
 
@@ -55,16 +55,15 @@ def op4_warc_fixity(spark, folder):
     when divided by 97 are damaged and those that leave 5 when divided by 101 are
     missing; the audit locates them."""
     pages = read(spark, folder, "pages")
-    rows = cut(warc.placed(pages, "page_id", "url", "html", per_file=1000), "warc")
-    good, bad = scratch_path(spark, "replica"), scratch_path(spark, "replica")
-    warc.write_warc(rows, good)
-    body = F.col("record")
-    damaged = rows.where(F.pmod("key", F.lit(101)) != 5).withColumn("record", F.when(
-        F.pmod("key", F.lit(97)) == 7, F.concat(F.lit("warc-type: "), body.substr(
-            F.lit(12), F.length(body) - 11))).otherwise(body))
-    warc.write_warc(damaged, bad)
-    found = warc.fixity(rows.select("key", "file", "offset", "length"),
-                        warc.read_warc(spark, good), warc.read_warc(spark, bad))
+    rows = warc.records(pages, "page_id", "url", "html", per_file=1000)
+    whole = F.col("record")
+    damaged = F.when(F.pmod("key", F.lit(97)) == 7, F.concat(
+        F.lit("warc-type: "), whole.substr(F.lit(12), F.length(whole) - 11))).otherwise(whole)
+    root = scratch_path(spark, "replicas")
+    warc.write_warc(rows, root, [whole, F.when(
+        F.coalesce(F.pmod("key", F.lit(101)) != 5, F.lit(True)), damaged)])
+    found = warc.fixity(warc.index_of(rows), warc.read_warc(spark, f"{root}/replica=0"),
+                        warc.read_warc(spark, f"{root}/replica=1"))
     return found.select(F.col("key").alias("page_id"), "file", "offset", "length", "status")
 
 

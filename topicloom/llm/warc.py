@@ -32,32 +32,47 @@ def record(url: Column, name: Column, body: Column) -> Column:
         F.octet_length(content).cast("string"), F.lit("\r\n\r\n"), content, F.lit("\r\n\r\n"))
 
 
-def placed(pages: DataFrame, key: str, url: str, body: str, per_file: int) -> DataFrame:
-    """(key, file, offset, length, record): the records in files of ``per_file`` keys.
+def records(pages: DataFrame, key: str, url: str, body: str, per_file: int) -> DataFrame:
+    """(key, file, length, digest, record): the records in files of ``per_file`` keys.
 
-    A file holds the keys of one interval in their order; rows that repeat follow each
-    other, rows without key share a file of their own.
+    A file holds the keys of one interval in their order, rows that repeat by their
+    digest; rows without key share a file of their own.
     """
     name = F.col(key).cast("string")
     rows = pages.select(F.col(key).cast("bigint").alias("key"), F.coalesce(
         F.floor(F.col(key) / per_file), F.lit(-1)).cast("bigint").alias("file"),
         record(F.col(url).cast("string"), name, F.col(body).cast("string")).alias("record"))
-    rows = rows.withColumn("length", F.octet_length(F.concat(F.lit(VERSION), "record")).cast(
-        "bigint"))
-    before = Window.partitionBy("file").orderBy("key", "record").rowsBetween(
+    return rows.select("key", "file", (F.octet_length("record") + len(VERSION)).cast("bigint")
+                       .alias("length"), F.md5("record").alias("digest"), "record")
+
+
+def index_of(rows: DataFrame) -> DataFrame:
+    """(key, file, offset, length) of `records`; their contents are not moved."""
+    before = Window.partitionBy("file").orderBy("key", "digest").rowsBetween(
         Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    return rows.select("key", "file", "length", "digest").select(
+        "key", "file", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length")
 
 
-def write_warc(rows: DataFrame, path: str, mode: str = "error") -> None:
-    """One gzip file of whole records per ``file`` below ``path``, in offset order.
+def write_warc(rows: DataFrame, path: str, replicas: Sequence[Column] | None = None,
+               mode: str = "error") -> None:
+    """Write `records` as gzip files of whole records, one per replica and ``file``, in order.
 
-    ``rows`` has (file, offset, record). A WARC file is text whose lines end in nothing.
+    A replica is a column that gives the record it holds, null for none; without any
+    there is one, of all records as they are. Replica k goes to ``path``/replica=k. The
+    contents are shuffled once for all of them. A WARC file is text whose lines end in
+    nothing of their own.
     """
-    (rows.repartition("file").sortWithinPartitions("file", "offset")
-     .select("file", F.concat(F.lit(VERSION), "record").alias("value"))
+    replicas = [F.col("record")] if replicas is None else replicas
+    held = F.explode(F.array(*[F.struct(F.lit(k).alias("replica"), r.alias("held"))
+                               for k, r in enumerate(replicas)]))
+    (rows.repartition("file").select("key", "file", "digest", held.alias("r"))
+     .where("r.held IS NOT NULL")
+     .select("key", "digest", "r.replica", "file", F.concat(F.lit(VERSION), "r.held").alias("value"))
+     .sortWithinPartitions("replica", "file", "key", "digest")
+     .select("replica", "file", "value")
      .write.mode(mode).option("lineSep", "\x00\x00").option("compression", "gzip")
-     .partitionBy("file").text(path))
+     .partitionBy("replica", "file").text(path))
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -79,14 +94,13 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def leaves(rows: DataFrame) -> DataFrame:
-    """(file, offset, length, hash) for ``rows`` (file, offset, record, length).
+    """(file, offset, length, hash) for ``rows`` (file, offset, length, digest of the record).
 
     Several records at one place, which no intact replica has, are one leaf.
     """
-    own = F.sha2(F.concat(F.lit(VERSION), F.coalesce("record", F.lit(""))), 256)
     by_place = rows.groupBy("file", "offset").agg(
         F.max("length").alias("length"),
-        F.concat_ws(":", F.sort_array(F.collect_list(own))).alias("content"))
+        F.concat_ws(":", F.sort_array(F.collect_list("digest"))).alias("content"))
     return by_place.select("file", "offset", "length", F.sha2(F.concat_ws(
         "|", "file", "offset", "length", "content"), 256).alias("hash"))
 
@@ -145,7 +159,8 @@ def audit(left: DataFrame, right: DataFrame, levels: int = LEVELS,
 def fixity(index: DataFrame, replica: DataFrame, against: DataFrame) -> DataFrame:
     """(key, file, offset, length, status) per record of ``index`` (key, file, offset, length).
 
-    Both replicas are as `read_warc` gives them; their records find their places by
+    Both replicas are as `read_warc` gives them. Their records are digested where they
+    are read and find their places by
     file and name in the index, repeats of one name by their order. A record that the
     index does not know is placed after all offsets and reported as extra or missing
     with a null key. Status is ok, changed, missing or extra.
@@ -156,9 +171,11 @@ def fixity(index: DataFrame, replica: DataFrame, against: DataFrame) -> DataFram
         "time", F.row_number().over(numbered)), "index")
 
     def at_place(rows: DataFrame) -> DataFrame:
-        times = rows.withColumn("time", F.row_number().over(
-            Window.partitionBy("file", "name").orderBy("record")))
-        far = F.lit(1 << 42) + F.pmod(F.xxhash64("record"), F.lit(1 << 40))
+        digested = rows.select("file", "name", "length", F.md5("record").alias("order"), F.sha2(
+            F.concat(F.lit(VERSION), "record"), 256).alias("digest"))
+        times = digested.withColumn("time", F.row_number().over(
+            Window.partitionBy("file", "name").orderBy("order")))
+        far = F.lit(1 << 42) + F.pmod(F.xxhash64("digest"), F.lit(1 << 40))
         joined = times.join(places, ["file", "name", "time"], "left")
         return cut(leaves(joined.withColumn("offset", F.coalesce("offset", far))), "leaves")
 
