@@ -9,10 +9,11 @@ minimiser form a super-k-mer: one stretch of text that holds them all.
 2. The super-k-mers of the other minimisers travel as packed strings, their words
    joined by single spaces. Equal strings of one minimiser collapse to the smallest
    document before they are shuffled.
-3. In the bucket of a minimiser its distinct strings are cut into windows, which are
-   sorted; equal neighbours give the smallest document of each window. A bucket with
-   more than ``CROWD`` distinct strings is not gathered: its windows travel singly, as
-   128-bit digests, and are counted by an ordinary aggregate.
+3. The buckets of a partition are read in order. The distinct strings of whole buckets
+   are cut into windows, which are sorted by 128 bits of digest; equal neighbours give
+   the smallest document of each window. A bucket with more than ``CROWD`` distinct
+   strings is not gathered: its windows travel singly, and an ordinary aggregate counts
+   them.
 4. A document loses the words of every window that a smaller document also has.
 """
 
@@ -22,17 +23,18 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .words import grams, words_of
+from .sharing import if_small
+from .words import grams, mix, words_of
 
 WINDOW, GRAM = 50, 10
 # Distinct strings of a minimiser that one task compares.
 CROWD = 2_000
+_OTHER = np.uint64(0xA0761D6478BD642F)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -102,84 +104,112 @@ def listed(docs: DataFrame, key: str, text: str, window: int, gram: int) -> Data
 
 
 def packed(docs: DataFrame, wanted: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """(mini, doc, tag, start, windows, packed) for the wanted super-k-mers.
+    """(mini, doc, tag, start, windows, packed, id) for the wanted super-k-mers.
 
     ``wanted`` has (doc, tag, kmers array<struct<mini, start, windows>>).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, tag, text_, kmers in zip(batch.column(0).to_pylist(),
-                                              batch.column(1).to_pylist(), batch.column(2),
-                                              batch.column(3).to_pylist()):
-                words = text_.as_py().split()
-                out = [(k["mini"], k["start"], k["windows"], b" ".join(
-                    words[k["start"]: k["start"] + k["windows"] + window - 1])) for k in kmers]
+            for low in range(0, batch.num_rows, 64):
+                part = batch.slice(low, 64)
+                kmers, own = part.column(3), pa.array(np.repeat(
+                    np.arange(part.num_rows), part.column(3).value_lengths().to_numpy()))
+                flat = kmers.flatten()
+                start, count = (flat.field(k).to_numpy() for k in ("start", "windows"))
+                words = [t.as_py().split() for t in part.column(2)]
+                text_ = [b" ".join(words[n][a: a + w + window - 1]) for n, a, w in zip(
+                    own.to_pylist(), start.tolist(), count.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in out], pa.int64()),
-                     pa.array([doc] * len(out), pa.int64()),
-                     pa.array([tag] * len(out), pa.int64()),
-                     pa.array([k[1] for k in out], pa.int32()),
-                     pa.array([k[2] for k in out], pa.int32()),
-                     pa.array([k[3] for k in out], pa.binary())],
-                    ["mini", "doc", "tag", "start", "windows", "packed"])
+                    [flat.field("mini"), part.column(0).take(own), part.column(1).take(own),
+                     flat.field("start"), flat.field("windows"), pa.array(text_, pa.binary()),
+                     pa.array([hashlib.md5(t).digest() for t in text_], pa.binary())],
+                    ["mini", "doc", "tag", "start", "windows", "packed", "id"])
     return named(docs, key, text).join(wanted, ["doc", "tag"]).select(
         "doc", "tag", "text", "kmers").mapInArrow(
-        run, "mini bigint, doc bigint, tag bigint, start int, windows int, packed binary")
+        run, "mini bigint, doc bigint, tag bigint, start int, windows int, packed binary, "
+             "id binary")
 
 
-def _windows(text: bytes, window: int) -> list[bytes]:
-    words = text.split(b" ")
-    return [b" ".join(words[k: k + window]) for k in range(len(words) - window + 1)]
+def _digests(column: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two independent 64-bit numbers of every window of every string, and windows per string."""
+    one, two, count = [], [], []
+    for block in words_of(column):
+        for numbers, out in ((block.hashes, one), (mix(block.hashes ^ _OTHER), two)):
+            whole = grams(numbers, window)
+            out.extend(whole[a: b - window + 1] for a, b in zip(block.first[:-1], block.first[1:]))
+        count.append(block.counts() - window + 1)
+    return np.concatenate(one), np.concatenate(two), np.concatenate(count)
 
 
-def _count(rows: pd.DataFrame, window: int) -> pd.DataFrame:
-    """The smallest document of each window of each string of one minimiser."""
-    found = [(w, first, n, k) for n, (first, text) in enumerate(zip(rows["first"], rows["packed"]))
-             for k, w in enumerate(_windows(text, window))]
-    found.sort()
-    out = [[0] * (t.count(b" ") + 2 - window) for t in rows["packed"]]
-    last, low = None, 0
-    for w, first, n, k in found:
-        if w != last:
-            last, low = w, first
-        out[n][k] = low
-    return pd.DataFrame({"mini": rows["mini"], "id": rows["id"], "firsts": out})
+def _count(rows: pa.Table, window: int) -> pa.RecordBatch:
+    """(mini, id, firsts) for the strings of whole buckets: their windows are sorted, and of
+    equal ones the smallest document is taken. One number stands for equal numbers."""
+    one, two, count = _digests(rows["packed"].combine_chunks(), window)
+    own = rows["first"].to_numpy()
+    first = np.repeat(own, count)
+    order = np.lexsort((two, one))
+    new = np.append(True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]))
+    low = np.empty_like(first)
+    low[order] = np.minimum.reduceat(first[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    # A string whose windows are all its own document's needs one number.
+    at = np.append(0, np.cumsum(count))
+    plain = np.minimum.reduceat(low, at[:-1]) == own
+    keep = ~np.repeat(plain, count)
+    keep[at[:-1]] = True
+    ends = np.append(0, np.cumsum(np.where(plain, 1, count))).astype(np.int32)
+    firsts = pa.ListArray.from_arrays(pa.array(ends), pa.array(low[keep]))
+    return pa.RecordBatch.from_arrays([rows["mini"].combine_chunks(), rows["id"].combine_chunks(),
+                                       firsts], ["mini", "id", "firsts"])
 
 
 def repeated_windows(strings: DataFrame, window: int) -> DataFrame:
-    """(mini, id, firsts) for ``strings`` (mini, doc, start, windows, packed): of each distinct
-    string, named by the digest ``id``, the smallest document of each of its windows."""
-    distinct = strings.groupBy("mini", "packed").agg(F.min("doc").alias("first"))
-    distinct = cut(distinct.withColumn("id", F.unhex(F.md5("packed"))), "strings")
-    sizes = cut(distinct.groupBy("mini").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    few = distinct.join(sizes.where(F.col("n") <= CROWD), "mini", "left_semi")
-    many = sizes.where(F.col("n") > CROWD)
-    by_sort = few.groupBy("mini").applyInPandas(
-        lambda rows: _count(rows, window), "mini bigint, id binary, firsts array<bigint>")
-    # A string alone in its bucket holds windows that no other string has.
-    alone = distinct.join(sizes, "mini", "left_anti").select(
-        "mini", "id", F.transform(F.sequence(F.lit(1), F.lit(1)), lambda _: F.col("first"))
-        .alias("firsts"))
+    """(mini, id, firsts) for ``strings`` (mini, id, doc, packed): of each distinct string, named
+    by the digest ``id``, the smallest document of each of its windows, or one number when
+    that is the same for all."""
+    distinct = cut(strings.groupBy("mini", "id", "packed").agg(F.min("doc").alias("first")),
+                   "strings")
+    many = cut(distinct.groupBy("mini").agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+               .select("mini"), "crowded")
+
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the strings of the last bucket, which may go on
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            mini = rows["mini"].to_numpy()
+            last = int(np.searchsorted(mini, mini[-1]))
+            held = rows.slice(last)
+            if last:
+                yield _count(rows.slice(0, last), window)
+        if held is not None:
+            yield _count(held, window)
+    few = distinct.join(if_small(many, 8), "mini", "left_anti").repartition(
+        "mini").sortWithinPartitions("mini").select("mini", "id", "first", "packed")
+    by_sort = few.mapInArrow(in_order, "mini bigint, id binary, firsts array<bigint>")
     if many.isEmpty():
-        return by_sort.unionByName(alone)
+        return by_sort
 
     def singly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for mini, id_, first, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                own = [hashlib.md5(w).digest() for w in _windows(text, window)]
-                n = len(own)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([mini] * n, pa.int64()), pa.array([id_] * n, pa.binary()),
-                     pa.array(range(n), pa.int32()), pa.array([first] * n, pa.int64()),
-                     pa.array(own, pa.binary())], ["mini", "id", "k", "first", "digest"])
-    crowd = distinct.join(many, "mini", "left_semi").select("mini", "id", "first", "packed")
-    windows = cut(crowd.mapInArrow(
-        singly, "mini bigint, id binary, k int, first bigint, digest binary"), "windows")
-    low = windows.groupBy("digest").agg(F.min("first").alias("low"))
-    by_key = windows.join(low, "digest").groupBy("mini", "id").agg(
+            if not batch.num_rows:
+                continue
+            one, two, count = _digests(batch.column(3), window)
+            row = np.repeat(np.arange(batch.num_rows), count)
+            place = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(count)[:-1]), count)
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), batch.column(1).take(take),
+                 batch.column(2).take(take), pa.array(place.astype(np.int32)),
+                 pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
+                ["mini", "id", "first", "k", "one", "two"])
+    crowd = distinct.join(if_small(many, 8), "mini", "left_semi")
+    windows = cut(crowd.select("mini", "id", "first", "packed").mapInArrow(
+        singly, "mini bigint, id binary, first bigint, k int, one bigint, two bigint"), "windows")
+    low = windows.groupBy("one", "two").agg(F.min("first").alias("low"))
+    by_key = windows.join(low, ["one", "two"]).groupBy("mini", "id").agg(
         F.sort_array(F.collect_list(F.struct("k", "low"))).alias("all")).select(
         "mini", "id", F.col("all.low").alias("firsts"))
-    return by_sort.unionByName(alone).unionByName(by_key)
+    return by_sort.unionByName(by_key)
 
 
 def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
@@ -201,8 +231,7 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
         F.collect_set(F.struct("mini", "start", "windows")).alias("kmers"))
     strings = cut(packed(docs, wanted, key, text, window), "packed")
     firsts = repeated_windows(strings, window)
-    placed = strings.select("mini", "doc", "start", "windows", F.unhex(F.md5("packed")).alias("id"),
-                            "tag")
+    placed = strings.select("mini", "doc", "start", "windows", "id", "tag")
     spans = F.filter(F.transform(F.sequence(F.lit(0), F.col("windows") - 1), lambda k: F.when(
         F.try_element_at("firsts", F.least(k + 1, F.size("firsts"))) < F.col("doc"),
         F.col("start") + k)), lambda s: s.isNotNull())
