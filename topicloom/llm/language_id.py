@@ -165,7 +165,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", pred: str
     kept = [c for c in docs.columns if c not in (text, pred, score, accepted)]
     rows = docs.select(F.when(has_letter(F.col(text)), F.lower(text)).cast("binary").alias("_text"),
                        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"))
-    row = rows.schema["_row"].dataType.simpleString()
+    schema = rows.select("_row").schema.add("p", "string").add("s", "double").add("a", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -186,7 +186,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", pred: str
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
                  pa.array(good, pa.bool_())], ["_row", "p", "s", "a"])
-    out = rows.mapInArrow(run, f"_row {row}, p string, s double, a boolean")
+    out = rows.mapInArrow(run, schema)
     return out.select("_row.*", F.col("p").alias(pred), F.col("s").alias(score),
                       F.col("a").alias(accepted))
 
@@ -198,7 +198,6 @@ def keep_accepted(docs: DataFrame, model: LanguageModel, text: str = "text") ->
     rows = docs.select(F.lower(F.col(text).cast("string")).cast("binary").alias("_asked"),
                        F.struct(*[F.col(f"`{c}`") for c in order]).alias("_row")).where(
         has_letter(F.col(f"_row.`{text}`")))
-    row = rows.schema["_row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -207,4 +206,4 @@ def keep_accepted(docs: DataFrame, model: LanguageModel, text: str = "text") ->
                     for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1)], ["_row"]).filter(
                 pa.array(good, pa.bool_()))
-    return rows.mapInArrow(run, f"_row {row}").select("_row.*")
+    return rows.mapInArrow(run, rows.select("_row").schema).select("_row.*")

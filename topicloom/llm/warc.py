@@ -23,12 +23,20 @@ RANGE_BITS, FAN_BITS, LEVELS = 18, 4, 4
 
 
 def record(url: Column, name: Column, body: Column) -> Column:
-    """A resource record without its version line: headers, empty line, body, two line ends."""
-    content = F.coalesce(body, F.lit(""))
+    """A resource record without its version line: headers, empty line, body, two line ends.
+
+    Readers cut files at version lines, so a body that holds one is written as base64,
+    and a header says so. A null body is empty.
+    """
+    plain = F.coalesce(body, F.lit(""))
+    encoded = plain.contains(VERSION)
+    content = F.when(encoded, F.base64(F.encode(plain, "UTF-8"))).otherwise(plain)
     return F.concat(
         F.lit("WARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.coalesce(name, F.lit("")),
         F.lit(">\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]", ""),
-        F.lit("\r\nContent-Type: text/html\r\nContent-Length: "),
+        F.lit("\r\nContent-Type: text/html\r\n"),
+        F.when(encoded, F.lit("Content-Transfer-Encoding: base64\r\n")).otherwise(F.lit("")),
+        F.lit("Content-Length: "),
         F.octet_length(content).cast("string"), F.lit("\r\n\r\n"), content, F.lit("\r\n\r\n"))
 
 

@@ -37,7 +37,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power(base: np.uint64, n: int, inverse: bool = False) -> np.ndarray:
     key = (int(base), inverse)
-    if len(_powers.get(key, ())) < n:
+    if key not in _powers or len(_powers[key]) < n:
         step = pow(int(base), -1, 1 << 64) if inverse else int(base)
         row = np.full(max(n, BLOCK), step, np.uint64)
         row[0] = 1
