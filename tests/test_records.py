@@ -28,6 +28,9 @@ CASES = [
     (record("<d:title>own prefix</d:title>", dc="d"), "own prefix", None),
     ("<rdf:RDF><open>", None, None),
     (None, None, None),
+    (record("<d:title>t</d:title>" + NOTE.format("see d:foo"), dc="d"), "t", "see d:foo"),
+    (record('<title xmlns="http://purl.org/dc/elements/1.1/">bare</title>'), "bare", None),
+    ('<RDF xmlns="http://purl.org/dc/elements/1.1/"><title>root</title></RDF>', "root", None),
 ]
 
 
@@ -108,6 +111,19 @@ def test_single_files_of_centroids(spark, tmp_path):
     assert centroid_files.unmatched_configs(spark, str(tmp_path)).count() == 0
 
 
+def test_centroid_columns_go_by_name(spark, tmp_path):
+    import gzip
+    for key, n, table in (("a", 5, "cluster_id,v0,v1\n0,1.0,2.0\n"),
+                          ("b", 6, "v1,v0,note,cluster_id\n2.0,1.0,text,0\n")):
+        with gzip.open(tmp_path / f"centroids_{key}.csv.gz", "wt") as f:
+            f.write(table)
+        (tmp_path / f"metadata_{key}.json").write_text(
+            '{"config": {"umap_neighbors": %d, "hdb_min_cluster_size": 10}, '
+            '"cluster_names": {"0": "zero"}}' % n)
+    got = sorted(tuple(r) for r in centroid_files.load_centroids(spark, str(tmp_path)).collect())
+    assert got == [("5_10", 0, "zero", [1.0, 2.0]), ("6_10", 0, "zero", [1.0, 2.0])]
+
+
 def test_no_centroids(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         centroid_files.load_centroids(spark, str(tmp_path))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -139,17 +141,39 @@ def test_unit_and_finite(spark):
     assert got == [[0.6, 0.8], [0.0, 0.0], [0.0, 1.0]]
 
 
-def test_ordinal_ranges_equal_window(spark, monkeypatch):
-    from topicloom.operators import ranking
+def test_ordinal_and_sample(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 1009).alias("k"))
-    few = {r["k"]: r["n"] for r in ordinal(df, ["k"], "n", 5).collect()}
-    monkeypatch.setattr(ranking, "TOP_N_UP_TO", 10)
-    many = {r["k"]: r["n"] for r in ordinal(df, ["k"], "n", 5).collect()}
-    assert few == many and min(few.values()) == 5
-    assert sample_n(df, "k", 50).count() == 50
-    large = {r[0] for r in sample_n(df, "k", 50).collect()}
-    monkeypatch.undo()
-    assert large == {r[0] for r in sample_n(df, "k", 50).collect()}
+    numbered = {r["k"]: r["n"] for r in ordinal(df, ["k"], "n", 5).collect()}
+    assert [numbered[k] for k in sorted(numbered)] == list(range(5, 1005))
+    drawn = {r[0] for r in sample_n(df, "k", 50).collect()}
+    by_digest = sorted(numbered, key=lambda k: hashlib.md5(f"42:{k}".encode()).hexdigest())
+    assert drawn == set(by_digest[:50])
+    assert sample_n(df, "k", 5000).count() == 1000 and sample_n(df.limit(0), "k", 5).count() == 0
+
+
+def test_null_and_ragged_vectors(spark):
+    rows = [(1, [1.0, 2.0]), (2, None), (3, [4.0, 5.0]), (4, [])]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>")
+    found = {(r["i"], r["j"]) for r in neighbours.knn_graph(df, "id", "v", 2, "euclidean").collect()}
+    assert found == {(1, 3), (3, 1)}
+    ragged = df.unionByName(spark.createDataFrame([(5, [1.0])], df.schema))
+    with pytest.raises(ValueError):
+        neighbours.knn_graph(ragged, "id", "v", 2, "euclidean")
+
+
+def test_one_bad_prompt_costs_one_answer(spark):
+    from topicloom.operators.labels import ask
+
+    def model():
+        def answer(prompts):
+            if "p7" in prompts:
+                raise RuntimeError("no")
+            return [p.upper() for p in prompts]
+        return answer
+    df = spark.createDataFrame([(f"p{k}",) for k in range(100)], "p string").coalesce(1)
+    got = {r["p"]: r for r in ask(df, "p", "a", model, error="e").collect()}
+    assert got["p7"]["a"] is None and "no" in got["p7"]["e"]
+    assert all(r["a"] == p.upper() and r["e"] is None for p, r in got.items() if p != "p7")
 
 
 def test_salted_top_k(spark):

@@ -9,12 +9,16 @@ DIGITS = 10  # measures are ranked at this precision, so ties break by id
 
 
 def as_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A list column to a dense row matrix."""
+    """A list column to a dense row matrix; null lists and several lengths are an error."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(n, -1) if n else np.zeros((0, 0))
+    if not n:
+        return np.zeros((0, 0))
+    lengths = column.value_lengths()
+    if column.null_count or len(lengths.unique()) > 1:
+        raise ValueError("a block of vectors needs rows of one length")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
 
 
 def measure(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:

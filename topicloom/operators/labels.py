@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_answer
-from ..session import broadcast_if_small, cut
+from ..session import cut
 from ..sources.tables import require_columns
 from .density import NOISE
 from .ranking import top_k
@@ -61,12 +61,11 @@ def cluster_info(df: DataFrame, cluster: str, doc: str, text: str, top_n: int =
 def label_docs(df: DataFrame, info: DataFrame, cluster: str) -> DataFrame:
     """Add name and summary to documents; noise keeps nulls.
 
-    One row of ``info`` per cluster. It is written, and broadcast only after a
-    count; else the join is by key, and adaptive execution splits a crowded
-    cluster.
+    One row of ``info`` per cluster. It is written, so the optimizer knows its bytes and
+    broadcasts it only when small; else the join is by key, and adaptive execution
+    splits a crowded cluster.
     """
-    names = cut(info.select(cluster, "name", "summary"), "names")
-    return df.join(broadcast_if_small(names), cluster, "left")
+    return df.join(cut(info.select(cluster, "name", "summary"), "names"), cluster, "left")
 
 
 def unlabelled(df: DataFrame) -> DataFrame:
@@ -103,29 +102,46 @@ def prompt_table(info: DataFrame, texts: DataFrame, cluster: str) -> DataFrame:
         F.format_string(SUMMARY_PROMPT, F.coalesce("texts", F.lit(""))).alias("summary_prompt"))
 
 
+PROMPTS_PER_CALL = 32
+
+
 def ask(df: DataFrame, prompt: str, out: str,
-        model: Callable[[], Callable[[list[str]], list[str | None]]]) -> DataFrame:
+        model: Callable[[], Callable[[list[str]], list[str | None]]],
+        error: str | None = None) -> DataFrame:
     """Append a model's answers, batch by batch.
 
     ``model`` is called once per task and returns the function that answers a
-    list of prompts. A batch that fails is answered with nulls. Null prompts are
+    list of prompts. Prompts go in lists of ``PROMPTS_PER_CALL``; when a call fails,
+    its prompts are sent one by one, and one that fails by itself is answered with
+    null. ``error``, if given, names a column for what went wrong. Null prompts are
     not sent.
     """
-    schema = df.select("*", F.lit(None).cast("string").alias(out)).schema
+    kept = df.select("*", F.lit(None).cast("string").alias(out),
+                     F.lit(None).cast("string").alias("_error"))
+
+    def one_by_one(answer, prompts: list[str]) -> list[tuple[str | None, str | None]]:
+        try:
+            return [(said, None) for said in answer(prompts)]
+        except Exception as error:  # a failed call means no answer, not a failed job
+            if len(prompts) == 1:
+                return [(None, f"{type(error).__name__}: {error}")]
+            return [said for p in prompts for said in one_by_one(answer, [p])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         answer = model()
         for pdf in batches:
-            wanted = pdf[prompt].notna()
+            wanted = pdf.index[pdf[prompt].notna()]
             pdf[out] = None
-            if wanted.any():
-                try:
-                    pdf.loc[wanted, out] = list(answer(pdf.loc[wanted, prompt].tolist()))
-                except Exception:  # a failed call means no answer, not a failed job
-                    pass
+            pdf["_error"] = None
+            for start in range(0, len(wanted), PROMPTS_PER_CALL):
+                rows = wanted[start:start + PROMPTS_PER_CALL]
+                said = one_by_one(answer, pdf.loc[rows, prompt].tolist())
+                pdf.loc[rows, out] = [s for s, _ in said]
+                pdf.loc[rows, "_error"] = [e for _, e in said]
             yield pdf
 
-    answered = df.mapInPandas(run, schema)
+    answered = df.mapInPandas(run, kept.schema)
+    answered = answered.withColumnRenamed("_error", error) if error else answered.drop("_error")
     return answered.withColumn(out, F.nullif(clean_answer(F.col(out)), F.lit("")))
 
 

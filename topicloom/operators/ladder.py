@@ -6,15 +6,16 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import as_vector
 from ..session import cut, cut_with, scratch_path
 from .centroids import mean_vectors
+from .graph import connected_components
 from .labels import merged_names
 from .neighbours import (BLOCK_ROWS, Points, cosine_limit, distinct_points, linked_points,
-                         with_components)
+                         pairs_within, with_components)
 
 # --- Fixed values: they decide results and must stay as they are. -------------
 TOP_THRESHOLD, LOW_THRESHOLD, THRESHOLD_STEP = 0.95, 0.5, 0.03
@@ -96,39 +97,45 @@ def merge_ladder(nodes: DataFrame, levels: Sequence[float] | None = None,
                  block_rows: int = BLOCK_ROWS) -> Ladder:
     """Merge to a fixpoint at each level, from the highest threshold down.
 
-    Means move, so a level is repeated until no group forms. Every round's
-    tables are written before the next one starts; the driver sees one count per
-    round.
+    Means move, so a level is repeated until no group forms. Nodes are compared once
+    per set of nodes, at the lowest level: a spanning forest there says which groups
+    form at any level above, and its best similarity which level is next. Every
+    round's tables are written before the next one starts; the driver sees one
+    number per round.
     """
     spark: SparkSession = nodes.sparkSession
-    levels = sorted(set(default_levels() if levels is None else levels), reverse=True)
+    every = sorted(set(default_levels() if levels is None else levels), reverse=True)
+    levels = every
     nodes = cut(nodes.select(*NODES), "nodes")
     stride = _stride(nodes)
     p = distinct_points(nodes, "node_id", "vec")
     start, round_no = nodes.count(), 0
-    history, after_level = [], []
-
-    for level in levels:
-        rounds_before = round_no
-        while True:
-            linked = linked_points(p, cosine_limit(level), block_rows)
-            if linked is None and not p.has_copies:
-                break
-            round_no += 1
-            done = _merge(nodes, p, linked, round_no, stride, weight, namer)
-            nodes, p = done.nodes, distinct_points(done.nodes, "node_id", "vec")
-            history.append(done.history.select(
-                F.lit(level).alias("level"), F.lit(round_no).alias("round"), "child_id",
-                "parent_id", "new_name"))
-        if round_no > rounds_before:
-            after_level.append(nodes.withColumn("level", F.lit(level)))
+    history, after_level = [], {}
+
+    while levels:
+        forest, seen = cut_with(pairs_within(p, cosine_limit(levels[-1]), "forest", block_rows),
+                                "forest", best=F.min("measure"))
+        # Copies of a vector merge at once, else the first level that has a pair.
+        best = float("-inf") if p.has_copies else seen["best"]
+        levels = [t for t in levels if best is not None and cosine_limit(t) >= best]
+        if not levels:
+            break
+        close = forest.where(F.col("measure") <= cosine_limit(levels[0]))
+        linked = connected_components(close)
+        round_no += 1
+        done = _merge(nodes, p, linked, round_no, stride, weight, namer)
+        nodes, p = done.nodes, distinct_points(done.nodes, "node_id", "vec")
+        history.append(done.history.select(
+            F.lit(levels[0]).alias("level"), F.lit(round_no).alias("round"), "child_id",
+            "parent_id", "new_name"))
+        after_level[levels[0]] = nodes.withColumn("level", F.lit(levels[0]))
 
     empty = nodes.limit(0).withColumn("level", F.lit(0.0))
     # Every part is a written table, so these unions only read files.
     merges = cut(reduce(DataFrame.unionByName, history), "history") if history else (
         spark.createDataFrame([], HISTORY))
-    return Ladder(nodes, reduce(DataFrame.unionByName, after_level, empty), merges,
-                  merge_summary(merges, start, levels))
+    return Ladder(nodes, reduce(DataFrame.unionByName, after_level.values(), empty), merges,
+                  merge_summary(merges, start, every))
 
 
 def merge_summary(history: DataFrame, start: int, levels: Sequence[float]) -> DataFrame:
@@ -138,13 +145,10 @@ def merge_summary(history: DataFrame, start: int, levels: Sequence[float]) -> Da
         F.count_distinct("parent_id").alias("n_merges"), F.count("*").alias("gone"))
     ordered = sorted(set(levels), reverse=True)
     place = F.array_position(F.array(*[F.lit(float(t)) for t in ordered]), F.col("level"))
-    below = steps.select(F.col("level").alias("l"), F.col("n_merges").alias("m"),
-                         F.col("gone").alias("g"))
-    return (steps.join(below, F.col("l") >= F.col("level"))
-            .groupBy("level", "n_merges")
-            .agg((F.lit(start) - F.sum(F.col("g") - F.col("m"))).alias("n_clusters_remaining"))
-            .select("level", (place - 1).cast("int").alias("iteration"), "n_merges",
-                    "n_clusters_remaining"))
+    # One row per level, so one task is enough for the running sum.
+    so_far = F.sum(F.col("gone") - F.col("n_merges")).over(Window.orderBy(F.desc("level")))
+    return steps.select("level", (place - 1).cast("int").alias("iteration"), "n_merges",
+                        (F.lit(start) - so_far).alias("n_clusters_remaining"))
 
 
 def lineage(leaves: DataFrame, history: DataFrame, node: str = "node_id") -> DataFrame:

@@ -27,14 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.matrices import DIGITS, as_matrix, measure, nearest, spanning_forest
-from ..functions.text import let
-from ..functions.vectors import as_vector, finite, squared_norm, unit
+from ..functions.vectors import as_vector, finite, unit
 from ..session import cut, cut_with
 from .graph import connected_components
 from .ranking import top_k
 
 BLOCK_ROWS = 2048
-MAX_CELLS = 4096
+# Points per cell grow with the root of their number: 64 centres for each root of 2^18.
+CELL_FACTOR = 1 / 8
 EMIT_ROWS = 65_536
 SLACK = 1e-9
 
@@ -56,17 +56,22 @@ class Points:
 
 def distinct_points(df: DataFrame, node: str, vec: str, metric: str = "cosine") -> Points:
     """Collapse identical vectors. For cosine, vectors get unit length first and
-    zero vectors, which are similar to nothing, are left out."""
+    zero vectors, which are similar to nothing, are left out. So are null and empty
+    vectors, and rows without id; vectors of several lengths are an error."""
     if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown metric {metric}")
     v = finite(as_vector(F.col(vec)))
     rows = df.select(F.col(node).cast("bigint").alias("id"),
-                     (unit(v) if metric == "cosine" else v).alias("v"))
+                     (unit(v) if metric == "cosine" else v).alias("v")).where(
+        (F.size("v") > 0) & F.col("id").isNotNull())
     if metric == "cosine":
         rows = rows.where(F.exists("v", lambda x: x != 0))
     points, seen = cut_with(
         rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "points",
-        count=F.count(F.lit(1)), copies=F.max("copies"))
+        count=F.count(F.lit(1)), copies=F.max("copies"), shortest=F.min(F.size("v")),
+        longest=F.max(F.size("v")))
+    if seen["shortest"] != seen["longest"]:
+        raise ValueError(f"vectors of {seen['shortest']} to {seen['longest']} entries")
     has_copies = (seen["copies"] or 1) > 1
     if not has_copies:
         members = points.select("id", F.col("id").alias("point"))
@@ -77,31 +82,38 @@ def distinct_points(df: DataFrame, node: str, vec: str, metric: str = "cosine")
 
 
 class _Cells:
-    """Centres and block counts; small, and shipped to every task."""
+    """Centres and block counts; small, and shipped to every task.
+
+    The number of centres grows with the root of the number of points, so their table
+    stays small: 4,000 at a billion points.
+    """
 
     def __init__(self, points: DataFrame, count: int, block_rows: int):
-        k = min(MAX_CELLS, math.ceil(count / block_rows))
+        k = max(1, math.ceil(math.sqrt(count) * CELL_FACTOR))
         self.block_rows = block_rows
-        self.alone = k <= 1
-        if not self.alone:
-            # A hash order is a random draw that any rerun repeats.
-            drawn = points.orderBy(F.xxhash64("id"), "id").limit(k).select("v").collect()
-            self.centres = np.array([row["v"] for row in drawn])
-            self.gaps = measure(self.centres, self.centres, "euclidean")
-            np.fill_diagonal(self.gaps, 1.0)
-            self.squares = (self.centres ** 2).sum(1)
-        self.home_blocks = np.ones(max(k, 1), dtype=np.int64)
-        self.visit_blocks = np.zeros(max(k, 1), dtype=np.int64)
-        self.offset = np.zeros(max(k, 1), dtype=np.int64)
+        # A hash order is a random draw that any rerun repeats. Only points below a bound
+        # that some 2k of them are under take part in it.
+        draw = F.pmod(F.xxhash64("id"), F.lit(1 << 32))
+        bound = math.ceil((1 << 32) * min(1.0, (2 * k + 64) / max(1, count)))
+        drawn = (points.select("id", "v", draw.alias("draw")).where(F.col("draw") < bound)
+                 .orderBy("draw", "id").limit(k).select("v").collect())
+        self.centres = np.array([row["v"] for row in drawn]) if drawn else np.zeros((1, 0))
+        self.squares = (self.centres ** 2).sum(1)
+        k = len(self.centres)
+        self.home_blocks = np.ones(k, dtype=np.int64)
+        self.visit_blocks = np.zeros(k, dtype=np.int64)
+        self.offset = np.zeros(k, dtype=np.int64)
 
     def place(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Home cell of each row, and its distance to every other cell's plane."""
-        if self.alone:
-            return np.zeros(len(v), dtype=np.int64), np.full((len(v), 1), np.inf)
         # |v|^2 is the same for all centres and cancels.
         d = self.squares[None, :] - 2 * (v @ self.centres.T)
         home = d.argmin(1)
-        margin = (d - d[np.arange(len(v)), home][:, None]) / (2 * self.gaps[home])
+        rows = np.arange(len(v))
+        gap = measure(self.centres[home], self.centres, "euclidean")
+        gap[rows, home] = 1.0
+        # Equal centres have no plane between them: their points may be anywhere near.
+        margin = (d - d[rows, home][:, None]) / np.maximum(2 * gap, 1e-12)
         return home, margin
 
     def visits(self, home, margin, reach, both_ways: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +137,11 @@ def _block(ids: np.ndarray, blocks: np.ndarray) -> np.ndarray:
     return (mixed % np.maximum(blocks, 1).astype(np.uint64)).astype(np.int64)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], cells: _Cells) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that what they send stays bounded: a row can visit all
+    blocks of all cells."""
+    most = int((cells.home_blocks + cells.visit_blocks).sum()) + len(cells.home_blocks)
+    rows = max(1, min(1024, (1 << 22) // max(1, most)))
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
@@ -142,7 +158,7 @@ def _count_places(cells: _Cells, reach: float | None, both_ways: bool):
     def run(batches):
         home_n = np.zeros(len(cells.home_blocks), dtype=np.int64)
         visit_n = home_n.copy()
-        for batch in _slices(batches):
+        for batch in _slices(batches, cells):
             home, margin = cells.place(as_matrix(batch.column("v")))
             _, to = cells.visits(home, margin, _reach(batch, reach), both_ways)
             home_n += np.bincount(home, minlength=len(home_n))
@@ -163,7 +179,7 @@ def _emit_units(cells: _Cells, reach: float | None, both_ways: bool,
     itself.
     """
     def run(batches):
-        for batch in _slices(batches):
+        for batch in _slices(batches, cells):
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             home, margin = cells.place(as_matrix(batch.column("v")))
             s, t, at = cells.home_blocks[home], cells.visit_blocks[home], cells.offset[home]
@@ -274,7 +290,7 @@ def _compare(rows: DataFrame, cells: _Cells, reach: float | None, both_ways: boo
 
 
 def _prepare(rows: DataFrame, cells: _Cells, reach: float | None, both_ways: bool) -> None:
-    """Count rows per cell (at most MAX_CELLS numbers) and size the blocks."""
+    """Count rows per cell (one row each reaches the driver) and size the blocks."""
     counted = (rows.mapInArrow(_count_places(cells, reach, both_ways),
                                "cell int, home bigint, visit bigint")
                .groupBy("cell").agg(F.sum("home").alias("home"), F.sum("visit").alias("visit"))
@@ -294,10 +310,8 @@ def pairs_within(p: Points, limit: float, emit: str = "pairs",
     reach = math.sqrt(max(0.0, 2 + 2 * limit)) if p.metric == "cosine" else limit
     rows = p.points.select("id", "v")
     cells = _Cells(rows, p.count, block_rows)
-    if not cells.alone:
-        _prepare(rows, cells, reach, both_ways=False)
-    return _compare(rows, cells, reach, False, True, not cells.alone,
-                    _within(limit, p.metric, emit))
+    _prepare(rows, cells, reach, both_ways=False)
+    return _compare(rows, cells, reach, False, True, True, _within(limit, p.metric, emit))
 
 
 def linked_points(p: Points, limit: float, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
@@ -307,11 +321,7 @@ def linked_points(p: Points, limit: float, block_rows: int = BLOCK_ROWS) -> Data
                            count=F.count(F.lit(1)))
     if not seen["count"]:
         return None
-    if p.count > block_rows:
-        return connected_components(stars)
-    # One comparison saw all points, so its stars are the components.
-    return (stars.select(F.col("j").alias("node"), F.col("i").alias("component"))
-            .union(stars.select("i", "i").distinct()))
+    return connected_components(stars)
 
 
 def with_components(p: Points, linked: DataFrame | None) -> DataFrame:
@@ -362,10 +372,6 @@ def nearest_points(p: Points, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame
     rows = p.points.select("id", "v")
     cells = _Cells(rows, p.count, block_rows)
     order = [F.asc("measure"), F.asc("j")]
-    if cells.alone:
-        found = _compare(rows, cells, 0.0, False, True, False, _closest(k, p.metric, False))
-        return top_k(found, ["i"], order, k)
-
     _prepare(rows, cells, -1.0, both_ways=True)
     first = cut(top_k(_compare(rows, cells, -1.0, True, True, False,
                                _closest(k, p.metric, False)), ["i"], order, k), "nearest")

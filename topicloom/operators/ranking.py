@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,21 +10,16 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-# Up to this k the optimizer limits each group before the shuffle by itself.
-OPTIMIZER_LIMITS_UP_TO = 1000
-# Up to this many rows one task may order a sample or a list of ids.
-TOP_N_UP_TO = 10_000
-
 
 def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
           rank: str = "rank", salt: Column | None = None, salts: int = 64) -> DataFrame:
     """The first ``k`` rows of every group in a total order, ranked from 1.
 
-    For a large ``k`` over a group that may hold a third of all rows, pass
-    ``salt``: each salted part is cut to ``k`` first, then the parts compete.
-    The result is the same, the last step sees at most ``salts * k`` rows.
+    Where ``k`` is large and a group may hold a third of all rows, pass ``salt``:
+    each salted part is cut to ``k`` first, then the parts compete. The result is
+    the same, the last step sees at most ``salts * k`` rows.
     """
-    if k > OPTIMIZER_LIMITS_UP_TO and salt is not None:
+    if salt is not None:
         part = Window.partitionBy(*group, "_salt").orderBy(*order)
         df = (df.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)))
               .withColumn("_r", F.row_number().over(part))
@@ -35,16 +31,12 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
 def ordinal(df: DataFrame, order: Sequence[str], out: str, start: int = 0) -> DataFrame:
     """Number the rows in the order of ``order``, from ``start``.
 
-    A global window does it for few rows. Beyond that range partitions are sorted on their own; the row's place inside its
-    partition plus the sizes of the partitions before it is its number. The
-    partitioned rows are written once, so both uses see the same partitions.
+    Range partitions are sorted on their own; a row's place inside its partition
+    plus the sizes of the partitions before it is its number. The partitioned rows
+    are written once, so both uses see the same partitions.
     """
-    rows = cut(df, "ordinal")
-    if rows.count() <= TOP_N_UP_TO:
-        number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-        return rows.withColumn(out, number - 1 + start)
     placed = cut(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id()), "ordinal")
     part = F.shiftright("_place", 33)
     placed = placed.withColumn("_part", part)
@@ -53,7 +45,7 @@ def ordinal(df: DataFrame, order: Sequence[str], out: str, start: int = 0) -> Da
               .select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n"))
                       .alias("_before")))
     local = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return (placed.join(F.broadcast(before), "_part")
+    return (placed.join(before, "_part")
             .withColumn(out, F.col("_before") + local + start)
             .drop("_part", "_place", "_before"))
 
@@ -61,14 +53,23 @@ def ordinal(df: DataFrame, order: Sequence[str], out: str, start: int = 0) -> Da
 def sample_n(df: DataFrame, key: str, n: int | None, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows, repeatable for a seed; all rows when there are fewer.
 
-    The order is the MD5 of seed and key, so it does not depend on how the
-    rows are partitioned.
+    The order is the MD5 of seed and key, so it does not depend on how the rows are
+    partitioned. Only keys below a bound that some more than ``n`` of them are under
+    are numbered; the rows follow by key. Rows that repeat with their key are drawn
+    together, in the place of the first.
     """
     if n is None:
         return df
     draw = F.md5(F.concat(F.lit(str(seed)), F.lit(":"), F.col(key).cast("string")))
-    drawn = df.withColumn("_draw", draw)
-    if n <= TOP_N_UP_TO:
-        return drawn.orderBy("_draw", key).limit(n).drop("_draw")
-    return (ordinal(drawn, ["_draw", key], "_ordinal")
-            .where(F.col("_ordinal") < n).drop("_draw", "_ordinal"))
+    keys = df.select(F.col(key).alias("_key"), draw.alias("_draw")).where(
+        F.col(key).isNotNull()).distinct()
+    total = keys.count()
+    share = (n + 10 * math.sqrt(n) + 20) / max(1, total)
+    while True:
+        low = F.conv(F.substring("_draw", 1, 8), 16, 10).cast("bigint")
+        drawn = cut(ordinal(keys.where(low < math.ceil(min(1.0, share) * (1 << 32))),
+                            ["_draw", "_key"], "_place").where(F.col("_place") < n), "sample")
+        if share >= 1 or drawn.count() == min(n, total):
+            break
+        share *= 2
+    return df.join(drawn.select("_key"), F.col(key) == F.col("_key"), "left_semi")

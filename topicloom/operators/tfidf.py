@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import counted, is_blank, tokens, without
-from ..session import broadcast_if_small, cut
+from ..session import cut
 from .ranking import top_k
 
 # --- Fixed values: they decide results and must stay as they are. -------------
@@ -69,7 +69,7 @@ def tfidf_terms(df: DataFrame, group: str, doc: str, text: str, top_n: int = TOP
     weights = cut(vocabulary.join(sizes, group).select(group, "term", idf.alias("idf")),
                   "vocabulary")
 
-    weighted = (terms.join(broadcast_if_small(weights), [group, "term"])
+    weighted = (terms.join(weights, [group, "term"])
                 .select(group, doc, "term", (F.col("tf") * F.col("idf")).alias("x")))
     # At most max_features rows per document.
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(group, doc)))

@@ -42,7 +42,13 @@ def query(fn):
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return tables.read_table(spark, f"{folder}/{name}.parquet", KEYS[name])
+    """A given table. Its files are one row group each, which one task reads, so a
+    session on one machine deals the rows to its cores; a cluster reads as it scans."""
+    df = tables.read_table(spark, f"{folder}/{name}.parquet")
+    context = spark.sparkContext
+    if context.master.startswith("local["):
+        return df.repartition(context.defaultParallelism, KEYS[name])
+    return df
 
 
 def long_form(df: DataFrame, ids: Sequence[str], vec: str, *more: str) -> DataFrame:
@@ -96,12 +102,11 @@ def topic_nodes(spark, folder) -> DataFrame:
 
 def envelopes(spark, folder) -> DataFrame:
     """Documents as RDF records: English title (not for German), untagged title
-    (only with a quality label), notation (not for Spanish)."""
+    (only with a quality label), and the text as notation."""
     docs, lab = read(spark, folder, "documents"), read(spark, folder, "labels")
     english = F.when(F.col("lang") != "de", F.concat_ws(" ", "source", F.col("doc_id")))
     other = F.concat(F.lit("quality "), F.col("quality").cast("string"))
-    xml = records.to_record([(english, "en"), (other, None)],
-                            F.when(F.col("lang") != "es", F.col("text")))
+    xml = records.to_record([(english, "en"), (other, None)], F.col("text"))
     return docs.join(lab, "doc_id", "left").select("doc_id", "lang", "source", xml.alias("xml"))
 
 
@@ -118,10 +123,9 @@ def extract_record(spark, folder):
 @query
 def scan_records(spark, folder):
     root = scratch_path(spark, "records")
-    envelopes(spark, folder).select("doc_id", "xml").write.partitionBy("doc_id").text(root)
-    found = records.scan_records(spark, root, "*.txt")
-    number = F.regexp_extract("file", r"doc_id=(\d+)", 1).cast("bigint")
-    return found.select(number.alias("doc_id"), "title", "abstract")
+    envelopes(spark, folder).select("lang", "xml").write.partitionBy("lang").text(root)
+    found = records.scan_records(spark, root, "*.txt", records.RECORD_END)
+    return found.select("title", "abstract")
 
 
 @query
@@ -246,9 +250,10 @@ def q_tfidf_terms(spark, folder):
 
 @query
 def language_id(spark, folder):
+    """Documents with odd ids, by what those with even ids teach."""
     docs = read(spark, folder, "documents")
-    return language.language_id(docs, "doc_id", "text",
-                                language.language_profiles(docs, "text", "lang"))
+    known = language.language_profiles(docs.where("doc_id % 2 = 0"), "text", "lang")
+    return language.language_id(docs.where("doc_id % 2 = 1"), "doc_id", "text", known)
 
 
 @query
@@ -478,16 +483,9 @@ def merge_round(spark, folder):
     return long_form(done.nodes, ["node_id"], "vec", "name", "leaves")
 
 
-LADDERS: dict = {}
-
-
 def whole_ladder(spark, folder):
-    """One run serves the four queries below; its tables are written anyway."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in LADDERS:
-        nodes = cut(topic_nodes(spark, folder))
-        LADDERS[key] = nodes, ladder.merge_ladder(nodes)
-    return LADDERS[key]
+    nodes = cut(topic_nodes(spark, folder))
+    return nodes, ladder.merge_ladder(nodes)
 
 
 @query

@@ -71,14 +71,3 @@ def cut_with(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, di
     seen = Observation(name)
     watched = df.observe(seen, *[metric.alias(key) for key, metric in metrics.items()])
     return cut(watched, name), seen.get
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Hint a broadcast only when a row count proves the side small.
-
-    Meant for tables that are cheap to count, such as the result of `cut`.
-    Above the bound the plain join stays, with adaptive skew splitting.
-    """
-    if df.count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,29 +61,51 @@ def read_metadata(spark: SparkSession, folder: str) -> DataFrame:
         "key", "source_config", F.col("_id").cast("bigint").alias(ID), "cluster_name")
 
 
-def load_centroids(spark: SparkSession, folder: str) -> DataFrame:
-    """(source_config, cluster_id, cluster_name, vec) of all configurations.
-
-    Tables and metadata are paired by the key in their names. Every numeric
-    column but the id belongs to the vector. A file without ids numbers its rows.
-    """
+def _table_files(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """The files of each configuration's table; only names are read."""
     try:
-        head = spark.read.option("header", True).csv(f"{folder}/{CENTROIDS}*")
+        found = spark.read.format("binaryFile").load(f"{folder}/{CENTROIDS}*").select(
+            _key(CENTROIDS).alias("key"), F.col("_metadata.file_path").alias("file")).collect()
     except AnalysisException as missing:
         raise FileNotFoundError(f"no {CENTROIDS}* in {folder}") from missing
-    schema = T.StructType([T.StructField(c, T.LongType() if c == ID else T.DoubleType())
-                           for c in head.columns])
-    rows = (spark.read.schema(schema).option("header", True).csv(f"{folder}/{CENTROIDS}*")
-            .select("*", _key(CENTROIDS).alias("key"),
-                    F.col("_metadata.file_path").alias("_file")))
-    if ID not in head.columns:
+    files: dict[str, list[str]] = {}
+    for row in found:
+        files.setdefault(row["key"], []).append(row["file"])
+    return files
+
+
+def _table(spark: SparkSession, key: str, files: list[str]) -> DataFrame:
+    """One configuration's rows, its numeric columns under their names."""
+    rows = spark.read.options(header=True, inferSchema=True).csv(sorted(files))
+    numeric = [f.name for f in rows.schema.fields
+               if f.name != ID and isinstance(f.dataType, T.NumericType)]
+    file = F.col("_metadata.file_path").alias("_file")
+    if ID in rows.columns:
+        number = F.col(ID).cast("bigint")
+    else:
         # A gzip file is read by one task from start to end, so this is its order.
-        place = Window.partitionBy("_file").orderBy(F.monotonically_increasing_id())
-        rows = rows.withColumn(ID, F.row_number().over(place).cast("bigint") - 1)
-    vec = finite(F.array(*[F.col(c) for c in head.columns if c != ID]))
+        place = Window.partitionBy("_file").orderBy("_at")
+        number = F.row_number().over(place).cast("bigint") - 1
+    return rows.select("*", file, F.monotonically_increasing_id().alias("_at")).select(
+        F.lit(key).alias("_key"), number.alias("_id"), *[F.col(c).cast("double").alias(c)
+                                                         for c in numeric])
+
+
+def load_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """(source_config, cluster_id, cluster_name, vec) of all configurations.
+
+    Tables and metadata are paired by the key in their names. Every numeric column but
+    the id belongs to the vector; tables are aligned by column name, in the order in
+    which names first appear, and what a table lacks is 0. A file without ids numbers
+    its rows. There is one read per configuration, a short list.
+    """
+    tables = [_table(spark, key, files) for key, files in sorted(_table_files(spark, folder).items())]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    columns = [c for c in rows.columns if c not in ("_key", "_id")]
+    vec = finite(F.array(*[F.coalesce(c, F.lit(0.0)) for c in columns]).cast("array<double>"))
     names = read_metadata(spark, folder)
     configs = names.select("key", "source_config").distinct()
-    return (rows.select("key", ID, vec.alias("vec"))
+    return (rows.select(F.col("_key").alias("key"), F.col("_id").alias(ID), vec.alias("vec"))
             .join(configs, "key")
             .join(names.select("key", ID, "cluster_name"), ["key", ID], "left")
             .select("source_config", ID, "cluster_name", "vec"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import let, strip
 from ..operators.ranking import sample_n
 
 # --- Fixed values: they decide results and must stay as they are. -------------
@@ -23,17 +23,34 @@ RECORD_END = "</rdf:RDF>"
 
 
 def with_known_prefixes(xml: Column) -> Column:
-    """Rename a record's own prefixes for the known namespaces to ours.
+    """Rename a record's own prefixes for the known namespaces to ours, inside tags only.
 
     XPath sees prefixes, not namespaces. Records that use the usual prefixes,
-    nearly all, are passed on untouched.
+    nearly all, are passed on untouched. A default namespace is known on the root,
+    where it holds for all names without prefix, and on an element without children.
     """
-    for prefix, uri in NAMESPACES.items():
+    def renamed(xml: Column, prefix: str, uri: str) -> Column:
         own = F.regexp_extract(xml, rf"xmlns:([\w.-]+)\s*=\s*[\"']\Q{uri}\E[\"']", 1)
-        other = ~own.isin("", prefix)
-        xml = F.when(other, F.regexp_replace(
-            xml, F.concat(F.lit("(</?|\\s)"), own, F.lit(":")), F.lit(f"$1{prefix}:"))
-        ).otherwise(xml)
+        tags = F.regexp_replace(xml, F.concat(F.lit("(</?)"), own, F.lit(":")),
+                                F.lit(f"$1{prefix}:"))
+        attributes = F.regexp_replace(
+            tags, F.concat(F.lit(r"(\s)"), own, F.lit(r""":(?=[\w.-]+\s*=\s*["'][^<>]*>)""")),
+            F.lit(f"$1{prefix}:"))
+        return F.when(~own.isin("", prefix), attributes).otherwise(xml)
+
+    def given(xml: Column, prefix: str, uri: str) -> Column:
+        default = rf"\sxmlns\s*=\s*[\"']\Q{uri}\E[\"']"
+        on_root = xml.rlike(rf"^(?:\s*<[?!][^>]*>)*\s*<[^>]*{default}")
+        everywhere = F.regexp_replace(xml, r"(</?)(?=[\p{L}_][\w.-]*[\s/>])", f"$1{prefix}:")
+        alone = F.regexp_replace(
+            xml, rf"<([\p{{L}}_][\w.-]*)([^<>]*{default}[^<>]*)>([^<]*)</\1\s*>",
+            f"<{prefix}:$1$2>$3</{prefix}:$1>")
+        return F.when(on_root, everywhere).when(xml.rlike(default), alone).otherwise(xml)
+
+    # Each step reads the text several times, so it is bound to a name, not repeated.
+    for prefix, uri in NAMESPACES.items():
+        for step in (renamed, given):
+            xml = let(xml, lambda x: step(x, prefix, uri))
     return xml
 
 
@@ -85,7 +102,7 @@ def as_xml(df: DataFrame, record_end: str | None) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("file"), strip(xml).alias("xml"))
 
 
-def scan_files(spark: SparkSession, root: str, pattern: str = PATTERN,
+def scan_files(spark: SparkSession, root: str | list[str], pattern: str = PATTERN,
                record_end: str | None = None) -> DataFrame:
     """(file, xml) of every matching file below ``root``."""
     found = spark.read.format("text").options(**read_options(pattern, record_end)).load(root)
@@ -104,11 +121,18 @@ def sample_files(spark: SparkSession, root: str, n: int | None, seed: int = 42,
 def scan_records(spark: SparkSession, root: str, pattern: str = PATTERN,
                  record_end: str | None = None, max_files: int | None = None,
                  seed: int = 42) -> DataFrame:
-    """(file, title, abstract, corrupt) of every record below ``root``."""
-    files = scan_files(spark, root, pattern, record_end)
+    """(file, title, abstract, corrupt) of every record below ``root``.
+
+    With ``max_files`` only the files of the sample are opened; their names, at most so
+    many, go through the driver.
+    """
     if max_files is not None:
-        files = files.join(sample_files(spark, root, max_files, seed, pattern), "file", "left_semi")
-    return extract_record(files, "file", "xml")
+        names = [r["file"] for r in sample_files(spark, root, max_files, seed, pattern).collect()]
+        if not names:
+            return extract_record(scan_files(spark, root, pattern, record_end).limit(0),
+                                  "file", "xml")
+        root = names
+    return extract_record(scan_files(spark, root, pattern, record_end), "file", "xml")
 
 
 def xml_text(c: Column) -> Column:

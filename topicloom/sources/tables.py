@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,19 +18,8 @@ DOCUMENT_SCHEMA = T.StructType([
 CSV_OPTIONS = {"header": True, "escape": '"', "quote": '"', "encoding": "UTF-8"}
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core.
-
-    A table of many files has more splits than cores and passes unchanged, so
-    nothing large is ever shuffled here. Call it right after the read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return spread(df, key) if key else df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -77,9 +66,3 @@ def union_batches(*batches: DataFrame) -> DataFrame:
 
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).json(path)
-
-
-def null_safe_text(df: DataFrame, **columns: Column) -> DataFrame:
-    """Null text becomes empty text, everything is cast to string."""
-    return df.withColumns({name: F.coalesce(c.cast("string"), F.lit(""))
-                           for name, c in columns.items()})

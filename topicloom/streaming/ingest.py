@@ -30,9 +30,16 @@ def ingest(spark: SparkSession, root: str, out: str, checkpoint: str,
     """
     records = record_stream(spark, root, **options)
     rows = transform(records) if transform else records
+    # Progress is kept for every batch, not only for the last hundred.
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, str(1 << 30))
     query = (rows.writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    finally:
+        spark.conf.set(kept, before)
     batches = [progress["numInputRows"] for progress in query.recentProgress]
     return [rows for rows in batches if rows]
