@@ -161,14 +161,14 @@ def test_url_filters(spark):
 
 
 def test_language_model(docs):
-    model, rare = language_model.fit(docs(ROWS))
-    got = language_model.score(docs(ROWS), model, rare, F.lit(False)).collect()
+    model, rest = language_model.fit(docs(ROWS))
+    got = language_model.score(docs(ROWS), model, rest, F.lit(False)).collect()
     assert len(got) == len(ROWS)
     assert {r.n_tokens for r in got if r.doc_id in (1, 2, 3)} == {1}
     assert all(r.n_known == r.n_tokens and r.score < 0 for r in got)
     assert {r.n_tokens for r in got if r.doc_id == 6} == {60_001}
-    model, rare = language_model.fit(docs([]))
-    got = language_model.score(docs(ROWS), model, rare, F.lit(True)).collect()
+    model, rest = language_model.fit(docs([]))
+    got = language_model.score(docs(ROWS), model, rest, F.lit(True)).collect()
     assert len(got) == len(ROWS) and all(r.train_tokens == 0 and r.n_known == 0 for r in got)
 
 
@@ -195,3 +195,19 @@ def test_pipeline_stages(spark, docs, small, rows):
             kept = stage(spark, given, small)
             assert kept.columns == given.columns and kept.count() <= len(rows)
     assert corpus_pipeline.mix_sources(spark, docs(rows), small).count() >= 0
+
+
+def test_language_model_bounds_do_not_change_scores(docs, monkeypatch):
+    texts = [(k, " ".join(f"w{(k * j * j + j) % 17}" for j in range(60))) for k in range(1, 40)]
+    table = docs([*texts, (99, "never seen w1 w2 w3 w1 w2"), (100, "")])
+
+    def scores():
+        model, rest = language_model.fit(table.where("doc_id < 90"))
+        got = language_model.score(table, model, rest, F.lit(False)).collect()
+        return len(model.pairs), {r.doc_id: r.score for r in got}
+    pairs, whole = scores()
+    for most in (40, 0):
+        monkeypatch.setattr(language_model, "PAIRS", most)
+        fewer, joined = scores()
+        assert fewer <= most < pairs
+        assert joined == pytest.approx(whole, rel=1e-9)

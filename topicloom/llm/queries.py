@@ -100,8 +100,8 @@ def op8_url_filters(spark, folder):
 def op9_language_model(spark, folder):
     docs = read(spark, folder, "documents")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
-    model, rare = language_model.fit(docs.where(~held_out))
-    return language_model.score(docs, model, rare, held_out)
+    model, rest = language_model.fit(docs.where(~held_out))
+    return language_model.score(docs, model, rest, held_out)
 
 
 @query
