@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from . import decontamination, exact_dedup, html_text, language_id, language_model, mixing
-from . import near_dedup, substring_dedup, url_filters, warc
+from ..session import cut, scratch_path
+from . import conversation_trie, decontamination, exact_dedup, fingerprints, html_text
+from . import language_id, language_model, mixing, near_dedup, substring_dedup, url_filters
+from . import vector_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -109,3 +110,38 @@ def op10_exact_dedup(spark, folder):
     found = exact_dedup.exact_groups(read(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept",
                         F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def grafted_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every conversation c with its first h turns taken from conversation c - c % 5, where h
+    is crc32 of c's decimal digits modulo 9; and all conversations."""
+    c = F.col("conv")
+    sizes = turns.groupBy("conv").agg(F.count("*").alias("size"))
+    plan = sizes.select("conv", (c - c % 5).alias("base"),
+                        (F.crc32(c.cast("string").cast("binary")) % 9).alias("h"))
+    given = sizes.select(F.col("conv").alias("base"), F.col("size").alias("base_size"))
+    plan = cut(plan.join(given, "base", "left").withColumn(
+        "taken", F.least("h", F.coalesce("base_size", F.lit(0).cast("bigint")))), "grafts")
+    own = turns.join(plan, "conv").where("idx >= h").select(
+        "conv", (F.col("idx") - F.col("h") + F.col("taken")).alias("idx"), "digest", "n_bytes")
+    heads = turns.where("idx < 9").withColumnRenamed("conv", "base")
+    lent = heads.join(plan, "base").where("idx < h").select("conv", "idx", "digest", "n_bytes")
+    return own.unionByName(lent), plan.select("conv")
+
+
+@query
+def op11_conversation_trie(spark, folder):
+    turns = cut(conversation_trie.ordered_turns(read(spark, folder, "conversations")), "turns")
+    return conversation_trie.prefix_trie(*grafted_turns(turns))
+
+
+@query
+def op12_fingerprints(spark, folder):
+    return fingerprints.compare_with_edits(read(spark, folder, "documents"))
+
+
+@query
+def op13_vector_codes(spark, folder):
+    coded, books = vector_codes.compress(read(spark, folder, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
