@@ -4,15 +4,18 @@ How the work is cut up:
 
 * Identical vectors are collapsed first, so a group of copies, however large,
   costs one point.
-* Points are placed in the cell of their closest centre. A point that could have
-  a partner in another cell also visits that cell: its distance to the plane half
-  way between the two centres is a lower bound for the distance to anything
-  behind it. The bound is exact, no partner is lost.
-* A crowded cell is cut into blocks of bounded size. A task compares two blocks
-  as one matrix product and emits only what was asked for: the pairs within the
-  threshold, a spanning forest of them, or each point's k nearest.
-
-No pair table of a cell is ever built, and no task holds more than two blocks.
+* For a threshold, points are dealt to the blocks of a ball tree, and only pairs of
+  blocks whose balls come within reach of each other are compared.
+* For nearest neighbours, points are placed in the cell of their closest centre. A
+  point that could have a partner in another cell also visits that cell: its
+  distance to the plane half way between the two centres is a lower bound for the
+  distance to anything behind it. A crowded cell is cut into blocks of bounded size.
+* A task compares two blocks as one matrix product and emits only what was asked
+  for: the pairs within the threshold, a spanning forest of them, or each point's k
+  nearest.
+
+All bounds are exact, no partner is lost. No pair table of a cell is ever built, and
+no task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from ..functions.matrices import DIGITS, as_matrix, measure, nearest, spanning_forest
 from ..functions.vectors import as_vector, finite, unit
 from ..session import cut, cut_with
+from .balls import ball_blocks, block_pairs, dealt_to_pairs
 from .graph import connected_components
 from .ranking import top_k
 
@@ -235,12 +239,20 @@ def _sides(table: pa.Table):
     return False, ids[side == 0], v[side == 0], ids[side == 1], v[side == 1]
 
 
+def _cores(table: pa.Table, itself: bool) -> tuple[np.ndarray, np.ndarray]:
+    core = table.column("core").to_numpy()
+    side = table.column("side").to_numpy()
+    return (core, core) if itself else (core[side == 0], core[side == 1])
+
+
 def _within(limit: float, metric: str, emit: str):
+    """``core`` raises the measure of a pair to the larger of its two points' cores."""
     def run(table: pa.Table) -> pa.Table:
         itself, li, lv, ri, rv = _sides(table)
         if not len(li) or not len(ri):
             return _pairs_table([], [], [])
-        m = measure(lv, rv, metric)
+        lc, rc = _cores(table, itself)
+        m = np.maximum(measure(lv, rv, metric), np.maximum(lc[:, None], rc[None, :]))
         hit = m <= limit
         if itself:
             hit &= np.tri(len(li), k=-1, dtype=bool).T
@@ -251,6 +263,9 @@ def _within(limit: float, metric: str, emit: str):
             return _pairs_table(np.minimum(a, b), np.maximum(a, b), weight)
         ids = li if itself else np.concatenate([li, ri])
         col = col if itself else col + len(li)
+        if emit == "forest":
+            # Rounded, so that equal weights of several comparisons are equal.
+            weight = np.round(weight, DIGITS)
         kept, label = spanning_forest(row, col, weight, len(ids))
         if emit == "forest":
             a, b = ids[row[kept]], ids[col[kept]]
@@ -300,18 +315,31 @@ def _prepare(rows: DataFrame, cells: _Cells, reach: float | None, both_ways: boo
 
 
 def pairs_within(p: Points, limit: float, emit: str = "pairs",
-                 block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS, cores: DataFrame | None = None) -> DataFrame:
     """Pairs of points whose measure is at most ``limit``: (i, j, measure), i < j.
 
     ``emit``: "pairs" lists all of them; "forest" keeps a lightest spanning
     forest per comparison, which has the same components at every limit below;
     "stars" links each point to the smallest id it connects to in a comparison.
+
+    With ``cores`` (point, core), the measure of a pair is the largest of its distance
+    and its two points' cores; points without a core have no pairs.
+
+    Blocks of a ball tree are compared, those pairs of blocks only that can hold points
+    within the limit: a row is copied once for each such pair of its block.
     """
     reach = math.sqrt(max(0.0, 2 + 2 * limit)) if p.metric == "cosine" else limit
-    rows = p.points.select("id", "v")
-    cells = _Cells(rows, p.count, block_rows)
-    _prepare(rows, cells, reach, both_ways=False)
-    return _compare(rows, cells, reach, False, True, True, _within(limit, p.metric, emit))
+    if cores is None:
+        rows = p.points.select("id", "v", F.lit(float("-inf")).alias("core"))
+        count = p.count
+    else:
+        near = cores.where(F.col("core") <= limit).select(F.col("point").alias("id"), "core")
+        rows, seen = cut_with(p.points.join(near, "id").select("id", "v", "core"), "cored",
+                              count=F.count(F.lit(1)))
+        count = seen["count"]
+    balls = ball_blocks(rows, count, block_rows)
+    return (dealt_to_pairs(balls, block_pairs(balls, reach)).groupBy("a", "b")
+            .applyInArrow(_within(limit, p.metric, emit), PAIRS))
 
 
 def linked_points(p: Points, limit: float, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
