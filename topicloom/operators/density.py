@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, cut_with
+from .forest import MergeTree, cuts, leaf_groups, levels, merge_tree, spanning_forest
 from .graph import connected_components
 from .neighbours import (BLOCK_ROWS, Points, cosine_limit, distinct_points, linked_points,
                          nearest_points, pairs_within, with_components)
@@ -91,17 +94,23 @@ def threshold_cuts(df: DataFrame, node: str, vec: str, thresholds: Sequence[floa
                    block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(threshold, node, component): the groups at several thresholds.
 
-    Similarities are computed once, at the lowest threshold, and reduced to a
-    forest there: dropping its weaker edges gives the groups of any higher one.
+    Similarities are computed once, at the lowest threshold. Their lightest forest
+    becomes a tree of merges, in which a row looks up its group at every threshold at
+    once, so the number of thresholds adds no passes.
     """
     p = distinct_points(df, node, vec)
-    forest = cut(pairs_within(p, cosine_limit(min(thresholds)), "forest", block_rows), "forest")
-    levels = []
-    for t in thresholds:
-        groups = connected_components(forest.where(F.col("measure") <= cosine_limit(t)))
-        levels.append(spread_components(df, node, p, groups)
-                      .select(F.lit(float(t)).alias("threshold"), node, "component"))
-    return reduce(DataFrame.unionByName, levels)
+    near = pairs_within(p, cosine_limit(min(thresholds)), "forest", block_rows)
+    tree = merge_tree(spanning_forest(near, weight="measure"))
+    limits = {cosine_limit(t): float(t) for t in thresholds}
+    found = cuts(tree, p.points.select(F.col("id").alias("node")), list(limits))
+    shown = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+    by_row = (p.members.join(found.withColumnRenamed("node", "point"), "point")
+              .select(F.col("id").alias("_id"), F.element_at(shown, F.col("threshold")).alias("_t"),
+                      F.col("component").alias("_c")))
+    every = F.explode(F.array(*[F.lit(t) for t in sorted(set(limits.values()))]))
+    rows = df.select(F.col(node).cast("bigint").alias(node), every.alias("threshold"))
+    return (rows.join(by_row, (F.col(node) == F.col("_id")) & (F.col("threshold") == F.col("_t")),
+                      "left").select("threshold", node, F.coalesce("_c", node).alias("component")))
 
 
 def _dense_groups(p: Points, cores: DataFrame, epsilon: float, block_rows: int) -> DataFrame:
@@ -179,6 +188,85 @@ def density_leaves(df: DataFrame, node: str, vec: str, radii: Sequence[float],
                      state.select(F.col("leaf").alias("component")).distinct())
 
 
+@dataclass
+class DensityTree:
+    """The whole density hierarchy of a table's vectors, up to the distance ``largest``."""
+
+    points: Points
+    cores: DataFrame  # point, core
+    tree: MergeTree
+    largest: float
+
+
+def density_tree(df: DataFrame, node: str, vec: str, largest: float | None = None,
+                 min_samples: int = MIN_SAMPLES, block_rows: int = BLOCK_ROWS) -> DensityTree:
+    """Merges of the rows by mutual reachability, the largest of two rows' core distances and
+    their distance, at all distances up to ``largest`` (all there are, when None).
+
+    Blocks of points give the lightest forests of their own pairs, rounds of joins the forest
+    of all, and its rounds the order of all merges. Any radius is a look-up afterwards.
+    """
+    p = distinct_points(df, node, vec, "euclidean")
+    limit = math.inf if largest is None else float(largest)
+    cores = cut(_point_cores(p, min_samples, block_rows), "cores")
+    near = pairs_within(p, limit, "forest", block_rows, cores)
+    return DensityTree(p, cores, merge_tree(spanning_forest(near, weight="measure")), limit)
+
+
+def clusters_at(found: DensityTree, radii: Sequence[float],
+                min_cluster_size: int = MIN_CLUSTER_SIZE) -> DataFrame:
+    """(radius, node, cluster_id): what `density_clusters` gives at each of the radii, for all
+    of them at once. ``node`` is the row's id; rows without a usable vector have no line."""
+    if max(radii) > found.largest:
+        raise ValueError("a radius lies beyond the tree")
+    p = found.points
+    inside = F.array(*[F.lit(float(r)) for r in sorted(set(radii))])
+    groups = (cuts(found.tree, p.points.select(F.col("id").alias("node")), radii)
+              .join(found.cores, F.col("node") == F.col("point"))
+              .where(F.col("core") <= F.col("threshold"))
+              .select(F.col("threshold").alias("radius"), "point", "component"))
+    groups = cut(groups, "groups")
+    rows = p.points.select(F.col("id").alias("point"), "copies")
+    big = (groups.join(rows, "point").groupBy("radius", "component")
+           .agg(F.sum("copies").alias("size")).where(F.col("size") >= min_cluster_size))
+    numbered = cut(ordinal(big.select("radius", "component"), ["radius", "component"], "place"),
+                   "numbered")
+    first = numbered.groupBy("radius").agg(F.min("place").alias("first"))
+    numbered = numbered.join(first, "radius").select(
+        "radius", "component", (F.col("place") - F.col("first")).alias("cluster_id"))
+    by_point = groups.join(numbered, ["radius", "component"]).select("radius", "point",
+                                                                     "cluster_id")
+    return (p.members.withColumn("radius", F.explode(inside))
+            .join(by_point, ["radius", "point"], "left")
+            .select("radius", F.col("id").alias("node"),
+                    F.coalesce("cluster_id", F.lit(NOISE)).cast("bigint").alias("cluster_id")))
+
+
+def tree_leaves(found: DensityTree, floor: float = EPSILON,
+                min_cluster_size: int = MIN_CLUSTER_SIZE) -> DataFrame:
+    """(node, cluster_id): the leaves of the density hierarchy, over all distances.
+
+    Going down from the largest distance, a cluster is replaced by its parts where at least two
+    of sufficient size come apart, at distances of ``floor`` or more. A cluster that never
+    splits keeps all rows it had when it appeared; parts that are too small are noise. When
+    the tree has no largest distance, everything together is no cluster, and its first split
+    counts also below the floor.
+    """
+    p = found.points
+    rows = p.points.select(F.col("id").alias("point"), F.col("copies").alias("rows"))
+    if math.isfinite(found.largest):
+        # A point belongs to what is dense at the largest distance.
+        rows = rows.join(found.cores.where(F.col("core") <= found.largest).select("point"), "point")
+    lv = levels(found.tree, rows)
+    groups = cut(leaf_groups(lv, min_cluster_size, floor, math.isfinite(found.largest)), "leaves")
+    first = groups.groupBy("group").agg(F.min("point").alias("first"))
+    numbered = ordinal(first, ["first"], "cluster_id").select("group", "cluster_id")
+    by_point = groups.join(numbered, "group").select("point", "cluster_id")
+    return (p.members.join(by_point, "point", "left")
+            .select(F.col("id").alias("node"), F.coalesce("cluster_id", F.lit(NOISE)).cast("bigint")
+                    .alias("cluster_id")))
+
+
 def score_configs(labels: DataFrame, config: str, cluster: str) -> DataFrame:
     """Clusters found, discounted by the share of noise, per configuration."""
     n_clusters = F.count_distinct(F.when(F.col(cluster) != NOISE, F.col(cluster)))

@@ -258,6 +258,61 @@ SELECT h.doc_id, coalesce(n.cluster_id, -1)::BIGINT AS cluster_id
 FROM hashed h LEFT JOIN {state} s ON s.node = h.doc_id LEFT JOIN number n ON n.leaf = s.leaf"""
 
 
+def density_tree(radii: list[float], size: int = 10) -> str:
+    """Clusters at each radius, found anew for each."""
+    values = ", ".join(f"({r}::DOUBLE)" for r in radii)
+    return f"""
+WITH RECURSIVE {HASHED}, {CORES},
+radii(r) AS (VALUES {values}),
+dense AS MATERIALIZED (SELECT r, node FROM radii JOIN cores ON core <= r),
+links AS MATERIALIZED (SELECT a.r, i, j FROM dist JOIN dense a ON a.node = i AND d <= a.r
+  JOIN dense b ON b.node = j AND b.r = a.r WHERE i < j),
+{keyed_components("lab", "dense", "links", "r")},
+big AS (SELECT r, root, row_number() OVER (PARTITION BY r ORDER BY root) - 1 AS cluster_id
+        FROM lab GROUP BY r, root HAVING count(*) >= {size}),
+found AS (SELECT lab.r, node, cluster_id FROM lab JOIN big ON lab.r = big.r AND lab.root = big.root)
+SELECT radii.r AS radius, h.doc_id, coalesce(cluster_id, -1)::BIGINT AS cluster_id
+FROM hashed h CROSS JOIN radii LEFT JOIN found f ON f.node = h.doc_id AND f.r = radii.r"""
+
+
+def density_tree_leaves(largest: float, floor: float, size: int = 10) -> str:
+    """Merges one by one, the lightest edge between two groups first; then every group of
+    every distinct distance, and the distances at which groups come apart."""
+    return f"""
+WITH RECURSIVE {HASHED}, {CORES},
+dense AS MATERIALIZED (SELECT node, row_number() OVER (ORDER BY node) AS k FROM cores WHERE core <= {largest}),
+edges AS MATERIALIZED (SELECT a.k AS x, b.k AS y, round(greatest(d, ca.core, cb.core), 10) AS w
+  FROM dist JOIN dense a ON a.node = i JOIN dense b ON b.node = j
+  JOIN cores ca ON ca.node = i JOIN cores cb ON cb.node = j
+  WHERE i < j AND greatest(d, ca.core, cb.core) <= {largest}),
+kruskal(step, w, lab) AS (
+  SELECT 0, -1::DOUBLE, list(k::INT ORDER BY k) FROM dense
+  UNION ALL
+  SELECT step + 1, e.w, list_transform(lab, lambda l: CASE WHEN l = greatest(lab[e.x], lab[e.y])
+                                       THEN least(lab[e.x], lab[e.y]) ELSE l END)
+  FROM (SELECT step, lab, arg_min(struct_pack(x := x, y := y, w := d.w), struct_pack(w := d.w, x := x, y := y)) AS e
+        FROM kruskal, edges d WHERE lab[x] <> lab[y] GROUP BY step, lab)),
+states AS (SELECT lab, w, row_number() OVER (ORDER BY w) AS t FROM (
+  SELECT w, arg_max(lab, step) AS lab FROM kruskal GROUP BY w)),
+place AS MATERIALIZED (SELECT t, w, unnest(range(1, len(lab) + 1)) AS k, unnest(lab) AS root FROM states),
+sizes AS MATERIALIZED (SELECT t, root, count(*) >= {size} AS big FROM place GROUP BY t, root),
+parts AS (SELECT a.t, a.root, count(DISTINCT b.root) FILTER (s.big) AS n
+  FROM place a JOIN place b ON b.k = a.k AND b.t = a.t - 1 JOIN sizes s ON s.t = b.t AND s.root = b.root
+  GROUP BY a.t, a.root),
+split AS (SELECT DISTINCT t, root FROM parts JOIN states USING (t) WHERE n >= 2 AND w >= {floor}),
+first AS (SELECT p.k, min(s.t) AS t FROM place p JOIN split s ON s.t = p.t AND s.root = p.root GROUP BY p.k),
+head AS MATERIALIZED (SELECT p.k, p.t, p.root, coalesce(f.t, 1000000) AS below FROM place p LEFT JOIN first f USING (k)
+  WHERE p.t = coalesce(f.t - 1, (SELECT max(t) FROM states))),
+members AS (SELECT h.t, h.root, p.k, coalesce(f.t, 1000000) AS below
+  FROM (SELECT DISTINCT t, root FROM head JOIN sizes USING (t, root) WHERE big) h
+  JOIN place p ON p.t = h.t AND p.root = h.root LEFT JOIN first f ON f.k = p.k),
+leaves AS (SELECT t, root, min(k) AS low FROM members GROUP BY t, root HAVING min(below) > t),
+named AS (SELECT t, root, row_number() OVER (ORDER BY low) - 1 AS cluster_id FROM leaves),
+found AS (SELECT d.node, cluster_id FROM head JOIN named USING (t, root) JOIN dense d USING (k))
+SELECT h.doc_id, coalesce(cluster_id, -1)::BIGINT AS cluster_id
+FROM hashed h LEFT JOIN found ON found.node = h.doc_id"""
+
+
 def ladder(levels: list[float], rounds_per_level: int = 4) -> tuple[str, str, str]:
     """The rounds of the ladder one after the other: the common tables, the
     history, and the nodes after each level.
@@ -464,6 +519,8 @@ big AS (SELECT component, row_number() OVER (ORDER BY component) - 1 AS cluster_
 SELECT h.doc_id, coalesce(b.cluster_id, -1)::BIGINT AS cluster_id
 FROM hashed h LEFT JOIN comp c ON c.node = h.doc_id LEFT JOIN big b USING (component)"""
     sql["density_leaves"] = density_leaves([0.8, 0.7, 0.6, 0.5, 0.4, 0.3])
+    sql["density_tree"] = density_tree(Q.RADII)
+    sql["density_tree_leaves"] = density_tree_leaves(0.8, 0.3)
     runs = " UNION ALL ".join(f"SELECT {n}::BIGINT AS config, vec_id, cluster_id FROM ({noisy(t)})"
                               for n, t in enumerate([0.0, 0.1, 0.2, 0.2]))
     scores = f"""SELECT config, n_clusters, n_outliers,

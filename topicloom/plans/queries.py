@@ -380,6 +380,22 @@ def density_leaves(spark, folder):
                                   [0.8, 0.7, 0.6, 0.5, 0.4, 0.3])
 
 
+RADII = [0.8, 0.75, 0.7, 0.65, 0.6, 0.55, 0.5, 0.45, 0.4, 0.35, 0.3, 0.25]
+
+
+@query
+def density_tree(spark, folder):
+    """The clusters at twelve radii, from one tree."""
+    tree = density.density_tree(hashed(spark, folder), "doc_id", "vec", max(RADII))
+    return density.clusters_at(tree, RADII).withColumnRenamed("node", "doc_id")
+
+
+@query
+def density_tree_leaves(spark, folder):
+    tree = density.density_tree(hashed(spark, folder), "doc_id", "vec", 0.8)
+    return density.tree_leaves(tree, floor=0.3).withColumnRenamed("node", "doc_id")
+
+
 def config_labels(spark, folder) -> DataFrame:
     runs = [noisy_labels(spark, folder, limit).select(
         F.lit(number).cast("bigint").alias("config"), "vec_id", "cluster_id")
