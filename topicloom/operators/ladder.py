@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import as_vector
-from ..session import cut, cut_with, scratch_path
+from ..session import cut, cut_with
 from .centroids import mean_vectors
 from .graph import connected_components
 from .labels import merged_names
@@ -154,23 +154,28 @@ def merge_summary(history: DataFrame, start: int, levels: Sequence[float]) -> Da
 def lineage(leaves: DataFrame, history: DataFrame, node: str = "node_id") -> DataFrame:
     """(leaf_id, level, round, node_id): every node a leaf passes through.
 
-    A leaf starts as itself, with null level. Each pass follows one merge for
-    all leaves at once; there are as many passes as the longest chain of merges.
+    A leaf starts as itself, with null level. Steps double: after each pass a node knows the
+    node twice as many merges above, and every leaf's known path gets twice as long, so
+    the passes are the logarithm of the longest chain of merges.
     """
-    step = leaves.select(F.col(node).alias("leaf_id"), F.lit(None).cast("double").alias("level"),
-                         F.lit(0).alias("round"), F.col(node).alias("node_id"))
-    path = scratch_path(leaves.sparkSession, "lineage")
-    moves = history.select("child_id", F.col("parent_id").alias("to"),
-                           F.col("level").alias("l"), F.col("round").alias("r"))
+    parts = [cut(leaves.select(F.col(node).alias("leaf_id"),
+                               F.lit(None).cast("double").alias("level"),
+                               F.lit(0).alias("round"), F.col(node).alias("node_id")), "lineage")]
+    jump = history.select(F.col("child_id").alias("at"), F.col("parent_id").alias("to"),
+                          F.col("level").alias("l"), F.col("round").alias("r"))
     while True:
-        step, seen = cut_with(step, "lineage-step", count=F.count(F.lit(1)))
-        step.write.mode("append").parquet(path)
+        known = reduce(DataFrame.unionByName, parts)
+        longer, seen = cut_with(
+            known.join(jump, F.col("node_id") == F.col("at")).select(
+                "leaf_id", F.col("l").alias("level"), F.col("r").alias("round"),
+                F.col("to").alias("node_id")), "lineage", count=F.count(F.lit(1)))
         if not seen["count"]:
-            break
-        step = (step.join(moves, F.col("node_id") == F.col("child_id"))
-                .select("leaf_id", F.col("l").alias("level"), F.col("r").alias("round"),
-                        F.col("to").alias("node_id")))
-    return leaves.sparkSession.read.schema(step.schema).parquet(path)
+            return known
+        parts.append(longer)
+        ahead = jump.select(F.col("at").alias("_at"), F.col("to").alias("_to"),
+                            F.col("l").alias("_l"), F.col("r").alias("_r"))
+        jump = cut(jump.join(ahead, F.col("to") == F.col("_at")).select(
+            "at", F.col("_to").alias("to"), F.col("_l").alias("l"), F.col("_r").alias("r")), "jump")
 
 
 def members_at(lineage_rows: DataFrame, level: float) -> DataFrame:
