@@ -132,11 +132,10 @@ def block_pairs(balls: Balls, reach: float) -> DataFrame:
 
 
 def dealt_to_pairs(balls: Balls, pairs: DataFrame) -> DataFrame:
-    """(a, b, side, id, v, core): each row once for every pair of blocks that its own is in.
+    """(a, b, side, id, v, core...): each row once for every pair of blocks that its own is in.
     side 0 and 1 are the two blocks of a pair, 2 is a block against itself."""
     left = pairs.select(F.col("a").alias("block"), "a", "b", F.when(
         F.col("a") == F.col("b"), 2).otherwise(0).cast("tinyint").alias("side"))
     right = pairs.where("a <> b").select(F.col("b").alias("block"), "a", "b",
                                          F.lit(1).cast("tinyint").alias("side"))
-    return balls.rows.join(left.unionByName(right), "block").select("a", "b", "side", "id", "v",
-                                                                    "core")
+    return balls.rows.join(left.unionByName(right), "block").drop("block")

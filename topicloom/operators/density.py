@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, cut_with
-from .forest import MergeTree, cuts, leaf_groups, levels, merge_tree, spanning_forest
+from .forest import (Levels, MergeTree, cuts, leaf_groups, levels, merge_tree,
+                     spanning_forest)
 from .graph import connected_components
 from .neighbours import (BLOCK_ROWS, Points, cosine_limit, distinct_points, linked_points,
-                         nearest_points, pairs_within, with_components)
+                         nearest_points, pairs_in_trees, pairs_within, with_components)
 from .ranking import ordinal
+from .reduction import reduce_dims
 
 NOISE = -1
 # --- Fixed values: they decide results and must stay as they are. -------------
@@ -25,24 +27,33 @@ EPSILON = 0.3
 # ------------------------------------------------------------------------------
 
 
-def _point_cores(p: Points, min_samples: int, block_rows: int) -> DataFrame:
-    """Distance at which a point has seen ``min_samples`` rows, itself included.
+def _core_table(p: Points, every: Sequence[int], block_rows: int) -> DataFrame:
+    """(point, k, core): the distance at which a point has seen k rows, itself included, for
+    each k of ``every``, from one search for neighbours.
 
     Copies of a vector count as rows at distance 0, so a point whose copies
     alone suffice has core distance 0.
     """
     itself = p.points.select(F.col("id").alias("i"), F.lit(0.0).alias("measure"),
                              F.col("copies").alias("rows"))
-    if min_samples == 1:
-        return itself.select(F.col("i").alias("point"), F.col("measure").alias("core"))
-    near = nearest_points(p, min_samples - 1, block_rows).select("i", "j", "measure")
-    counts = p.points.select(F.col("id").alias("j"), F.col("copies").alias("rows"))
-    seen = itself.unionByName(near.join(counts, "j").drop("j"))
-    # At most min_samples rows per point.
+    seen, most = itself, max(every)
+    if most > 1:
+        near = nearest_points(p, most - 1, block_rows).select("i", "j", "measure")
+        counts = p.points.select(F.col("id").alias("j"), F.col("copies").alias("rows"))
+        seen = itself.unionByName(near.join(counts, "j").drop("j"))
+    # At most max(every) rows per point.
     so_far = F.sum("rows").over(Window.partitionBy("i").orderBy("measure")
                                 .rangeBetween(Window.unboundedPreceding, 0))
-    return (seen.withColumn("seen", so_far).where(F.col("seen") >= min_samples)
-            .groupBy(F.col("i").alias("point")).agg(F.min("measure").alias("core")))
+    reached = F.explode(F.filter(F.array(*[F.lit(k) for k in sorted(set(every))]),
+                                 lambda k: k <= F.col("seen")))
+    return (seen.withColumn("seen", so_far).select(F.col("i").alias("point"), "measure",
+                                                   reached.alias("k"))
+            .groupBy("point", "k").agg(F.min("measure").alias("core")))
+
+
+def _point_cores(p: Points, min_samples: int, block_rows: int) -> DataFrame:
+    """(point, core) for one number of rows."""
+    return _core_table(p, [min_samples], block_rows).select("point", "core")
 
 
 def core_distance(df: DataFrame, node: str, vec: str, min_samples: int = MIN_SAMPLES,
@@ -289,3 +300,73 @@ def sweep(df: DataFrame, node: str, vec: str, configs: Sequence[dict],
             .select(F.lit(number).alias("config"), node, "cluster_id")
             for number, config in enumerate(configs)]
     return cut(reduce(DataFrame.unionByName, runs), "sweep")
+
+
+def sweep_leaves(df: DataFrame, node: str, vec: str, configs: Sequence[dict],
+                 block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(config, node, cluster_id): the leaves of the density hierarchy for each of a short list
+    of configurations, numbered from 0.
+
+    A configuration may set ``min_samples``, ``min_cluster_size``, ``floor``, ``largest`` and
+    ``components``, the number of principal components that take the place of the vectors.
+    Neighbours are searched once for each number of components, at the largest
+    ``min_samples``; one comparison of blocks gives the edges for every ``min_samples``, and
+    one forest and one merge tree hold all of them side by side.
+    """
+    runs = []
+    for components in {c.get("components") for c in configs}:
+        chosen = [(n, c) for n, c in enumerate(configs) if c.get("components") == components]
+        rows, used = df.select(node, vec), vec
+        if components:
+            rows = cut(reduce_dims(rows, vec, components, "_reduced").select(node, "_reduced"),
+                       "reduced")
+            used = "_reduced"
+        runs.append(_sweep_leaves(rows, node, used, chosen, block_rows))
+    return cut(reduce(DataFrame.unionByName, runs), "sweep")
+
+
+def _sweep_leaves(df: DataFrame, node: str, vec: str, chosen: list[tuple[int, dict]],
+                  block_rows: int) -> DataFrame:
+    settings = [(n, {"min_samples": MIN_SAMPLES, "min_cluster_size": MIN_CLUSTER_SIZE,
+                     "floor": EPSILON, "largest": None} | c) for n, c in chosen]
+    # A tree for each pair of min_samples and largest distance.
+    kinds = sorted({(c["min_samples"], math.inf if c["largest"] is None else float(c["largest"]))
+                    for _, c in settings})
+    p = distinct_points(df, node, vec, "euclidean")
+    cores = cut(_core_table(p, [k for k, _ in kinds], block_rows), "cores")
+    numbered = cut(ordinal(p.points, ["id"], "number"), "numbered")
+    own = numbered.select(F.col("id").alias("point"), "number", F.col("copies").alias("rows"))
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.lit(k).alias("k"),
+                                        F.lit(far).alias("far")) for n, (k, far) in
+                               enumerate(kinds)]))
+    member = (own.select("*", each.alias("e")).select("point", "number", "rows", "e.*")
+              .join(cores, ["point", "k"]).where(F.col("core") <= F.col("far")))
+    # One number for a point in a tree, so that all trees are one graph.
+    number = (F.col("number") * len(kinds) + F.col("kind"))
+    member = cut(member.select("point", "kind", "rows", "core", number.alias("number")), "members")
+    limits = [far for _, far in kinds]
+    near = pairs_in_trees(p, member.select("point", "kind", "core"), limits, block_rows)
+    names = member.select(F.col("point").alias("i"), "kind", F.col("number").alias("a"))
+    edges = (near.join(names, ["i", "kind"])
+             .join(names.select(F.col("i").alias("j"), "kind", F.col("a").alias("b")),
+                   ["j", "kind"]).select("a", "b", "measure"))
+    tree = merge_tree(spanning_forest(edges, "a", "b", "measure"))
+    lv = levels(tree, member.select(F.col("number").alias("point"), "rows"))
+    runs = []
+    for n, c in settings:
+        kind = kinds.index((c["min_samples"], math.inf if c["largest"] is None
+                            else float(c["largest"])))
+        mine = Levels(lv.nodes.where(F.pmod("i", F.lit(len(kinds))) == kind),
+                      lv.leaves.where(F.pmod("point", F.lit(len(kinds))) == kind))
+        groups = cut(leaf_groups(mine, c["min_cluster_size"], c["floor"],
+                                 math.isfinite(kinds[kind][1])), "leaves")
+        first = groups.groupBy("group").agg(F.min("point").alias("first"))
+        by_point = (groups.join(ordinal(first, ["first"], "cluster_id")
+                                               .select("group", "cluster_id"), "group")
+                    .select(F.col("point").alias("number"), "cluster_id"))
+        found = member.where(F.col("kind") == kind).join(by_point, "number").select(
+            "point", "cluster_id")
+        runs.append(p.members.join(found, "point", "left").select(
+            F.lit(n).alias("config"), F.col("id").alias(node),
+            F.coalesce("cluster_id", F.lit(NOISE)).cast("bigint").alias("cluster_id")))
+    return reduce(DataFrame.unionByName, runs)

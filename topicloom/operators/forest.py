@@ -187,8 +187,8 @@ def cuts(tree: MergeTree, nodes: DataFrame, thresholds: Sequence[float]) -> Data
 class Levels:
     """A merge tree in which merges of one weight that meet are one node.
 
-    ``nodes``: node, weight, size (rows below), parent. ``leaves``: point, rows, parent (null
-    for a point that never merges)."""
+    ``nodes``: node, weight, size (rows below), parent, i (one of its points). ``leaves``: point,
+    rows, parent (null for a point that never merges)."""
 
     nodes: DataFrame
     leaves: DataFrame
@@ -230,10 +230,11 @@ def levels(tree: MergeTree, points: DataFrame) -> Levels:
     """Sizes of all merges of ``points`` (point, rows), equal weights that meet as one node."""
     first = tree.forest.at(0).select(F.col("part").alias("point"), "i", "j")
     if not tree.forest.rounds:
-        none = tree.merges.select("node", "weight", F.lit(0).cast("bigint").alias("size"), "parent")
+        none = tree.merges.select("node", "weight", F.lit(0).cast("bigint").alias("size"), "parent",
+                                  "i")
         return Levels(none, points.select("point", "rows", F.lit(None).cast("bigint")
                                           .alias("parent")))
-    nodes = tree.merges.select("node", "weight", "parent").join(_sizes(tree, points), "node")
+    nodes = tree.merges.select("node", "weight", "parent", "i").join(_sizes(tree, points), "node")
     nodes = cut(nodes, "sized")
     # A node whose parent has its weight stands for the same level: the topmost of them counts.
     above = nodes.select(F.col("node").alias("parent"), F.col("weight").alias("_w"))
@@ -251,7 +252,7 @@ def levels(tree: MergeTree, points: DataFrame) -> Levels:
     up = same.select(F.col("node").alias("parent"), F.col("top").alias("_parent"))
     tops = same.where("node = top").select("node")
     kept = (nodes.join(tops, "node").join(up, "parent", "left")
-            .select("node", "weight", "size", F.col("_parent").alias("parent")))
+            .select("node", "weight", "size", F.col("_parent").alias("parent"), "i"))
     held = (first.join(tree.merges.select("i", "j", F.col("node").alias("parent")), ["i", "j"])
             .join(up, "parent").select("point", F.col("_parent").alias("parent")))
     return Levels(cut(kept, "levels"), cut(points.join(held, "point", "left")

@@ -342,6 +342,53 @@ def pairs_within(p: Points, limit: float, emit: str = "pairs",
             .applyInArrow(_within(limit, p.metric, emit), PAIRS))
 
 
+def _forests(limits: list[float], metric: str):
+    """A lightest spanning forest of two blocks for each limit, under the cores that go with it."""
+    def run(table: pa.Table) -> pa.Table:
+        itself, li, lv, ri, rv = _sides(table)
+        ids = li if itself else np.concatenate([li, ri])
+        out, kinds = [_pairs_table([], [], [])], []
+        if len(li) and len(ri):
+            side = table.column("side").to_numpy()
+            core = as_matrix(table.column("cores"))
+            lc, rc = (core, core) if itself else (core[side == 0], core[side == 1])
+            m = measure(lv, rv, metric)
+            for kind, limit in enumerate(limits):
+                reach = np.maximum(m, np.maximum(lc[:, kind, None], rc[None, :, kind]))
+                # Points outside a tree have infinite cores, also where all distances count.
+                hit = (reach <= limit) & np.isfinite(reach)
+                if itself:
+                    hit &= np.tri(len(li), k=-1, dtype=bool).T
+                row, col = np.nonzero(hit)
+                weight = np.round(reach[row, col], DIGITS)
+                col = col if itself else col + len(li)
+                kept, _ = spanning_forest(row, col, weight, len(ids))
+                a, b = ids[row[kept]], ids[col[kept]]
+                out.append(_pairs_table(np.minimum(a, b), np.maximum(a, b), weight[kept]))
+                kinds.append(np.full(len(kept), kind, np.int32))
+        found = pa.concat_tables(out)
+        return found.append_column("kind", pa.array(
+            np.concatenate(kinds) if kinds else np.zeros(0, np.int32), pa.int32()))
+    return run
+
+
+def pairs_in_trees(p: Points, cores: DataFrame, limits: list[float],
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(i, j, measure, kind): for each kind the edges of `pairs_within` at ``limits[kind]`` with
+    emit "forest". ``cores`` (point, kind, core) holds the points of each kind. Blocks meet
+    once for all kinds."""
+    at = [F.coalesce(F.max(F.when(F.col("kind") == k, F.col("core"))), F.lit(float("inf")))
+          for k in range(len(limits))]
+    listed = cut(cores.groupBy(F.col("point").alias("id")).agg(F.array(*at).alias("cores")),
+                 "cores")
+    rows, seen = cut_with(p.points.join(listed, "id").select(
+        "id", "v", F.array_min("cores").alias("core")), "cored", count=F.count(F.lit(1)))
+    balls = ball_blocks(rows, seen["count"], block_rows)
+    balls.rows = balls.rows.join(listed, "id")
+    return (dealt_to_pairs(balls, block_pairs(balls, max(limits))).groupBy("a", "b")
+            .applyInArrow(_forests(limits, p.metric), PAIRS + ", kind int"))
+
+
 def linked_points(p: Points, limit: float, block_rows: int = BLOCK_ROWS) -> DataFrame | None:
     """(node, component) of the points that have a partner within ``limit``; None
     when no point has one."""
@@ -422,7 +469,12 @@ def knn_graph(df: DataFrame, node: str, vec: str, k: int, metric: str = "cosine"
     The measure is the cosine, or the Euclidean distance.
     """
     p = distinct_points(df, node, vec, metric)
-    near = nearest_points(p, k, block_rows)
+    return spread_neighbours(p, nearest_points(p, k, block_rows), k)
+
+
+def spread_neighbours(p: Points, near: DataFrame, k: int) -> DataFrame:
+    """From the neighbours of points to those of rows: (i, j, measure, rank)."""
+    metric = p.metric
     shown = -F.col("measure") if metric == "cosine" else F.col("measure")
     if not p.has_copies:
         return near.select("i", "j", shown.alias("measure"), F.col("rank").cast("bigint"))

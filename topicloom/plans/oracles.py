@@ -275,11 +275,11 @@ SELECT radii.r AS radius, h.doc_id, coalesce(cluster_id, -1)::BIGINT AS cluster_
 FROM hashed h CROSS JOIN radii LEFT JOIN found f ON f.node = h.doc_id AND f.r = radii.r"""
 
 
-def density_tree_leaves(largest: float, floor: float, size: int = 10) -> str:
+def density_tree_leaves(largest: float, floor: float, size: int = 10, samples: int = 5) -> str:
     """Merges one by one, the lightest edge between two groups first; then every group of
     every distinct distance, and the distances at which groups come apart."""
     return f"""
-WITH RECURSIVE {HASHED}, {CORES},
+WITH RECURSIVE {HASHED}, {CORES.replace("r = 4", f"r = {samples - 1}")},
 dense AS MATERIALIZED (SELECT node, row_number() OVER (ORDER BY node) AS k FROM cores WHERE core <= {largest}),
 edges AS MATERIALIZED (SELECT a.k AS x, b.k AS y, round(greatest(d, ca.core, cb.core), 10) AS w
   FROM dist JOIN dense a ON a.node = i JOIN dense b ON b.node = j
@@ -521,6 +521,9 @@ FROM hashed h LEFT JOIN comp c ON c.node = h.doc_id LEFT JOIN big b USING (compo
     sql["density_leaves"] = density_leaves([0.8, 0.7, 0.6, 0.5, 0.4, 0.3])
     sql["density_tree"] = density_tree(Q.RADII)
     sql["density_tree_leaves"] = density_tree_leaves(0.8, 0.3)
+    sql["sweep_leaves"] = " UNION ALL ".join(
+        f"SELECT {n} AS config, * FROM ({density_tree_leaves(c['largest'], c['floor'], c['min_cluster_size'], c['min_samples'])})"
+        for n, c in enumerate(Q.SWEEP))
     runs = " UNION ALL ".join(f"SELECT {n}::BIGINT AS config, vec_id, cluster_id FROM ({noisy(t)})"
                               for n, t in enumerate([0.0, 0.1, 0.2, 0.2]))
     scores = f"""SELECT config, n_clusters, n_outliers,

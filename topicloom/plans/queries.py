@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import vectors as V
-from ..operators import density, ladder, labels, language, neighbours, plotdata
+from ..operators import density, descent, ladder, labels, language, layout, neighbours, plotdata
 from ..operators.centroids import centroids, mean_vectors
 from ..operators.encoding import embed_with
 from ..operators.graph import connected_components
@@ -396,6 +396,32 @@ def density_tree_leaves(spark, folder):
     return density.tree_leaves(tree, floor=0.3).withColumnRenamed("node", "doc_id")
 
 
+SWEEP = [{"min_samples": 5, "min_cluster_size": 10, "floor": 0.3, "largest": 0.8},
+         {"min_samples": 5, "min_cluster_size": 20, "floor": 0.5, "largest": 0.8},
+         {"min_samples": 3, "min_cluster_size": 10, "floor": 0.3, "largest": 0.7}]
+
+
+@query
+def sweep_leaves(spark, folder):
+    return density.sweep_leaves(hashed(spark, folder), "doc_id", "vec", SWEEP)
+
+
+@query
+def knn_descent(spark, folder):
+    """Nearly the nearest neighbours of the texts' vectors, copies included."""
+    return (descent.knn_descent(hashed(spark, folder), "doc_id", "vec", 5)
+            .select("i", "j", "rank", F.round("measure", 6).alias("cosine")))
+
+
+@query
+def graph_layout(spark, folder):
+    """Coordinates of the vectors from the graph of their five nearest neighbours."""
+    near = neighbours.knn_graph(read(spark, folder, "embeddings"), "vec_id", "embedding", 5)
+    placed = layout.graph_layout(near, "measure", dims=2).nodes
+    return placed.select(F.col("node").alias("vec_id"), *[
+        F.round(F.get("coordinates", F.lit(k)), 6).alias(f"x{k}") for k in range(2)])
+
+
 def config_labels(spark, folder) -> DataFrame:
     runs = [noisy_labels(spark, folder, limit).select(
         F.lit(number).cast("bigint").alias("config"), "vec_id", "cluster_id")
