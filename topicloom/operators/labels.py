@@ -21,6 +21,7 @@ NAME_SEPARATOR = " / "
 MODEL_LABEL_MIN_SIZE = 500
 SUMMARY_TEXTS = 5
 DEFAULT_MERGED_NAME = "General"
+MERGE_NAMES = 200  # names in a prompt for a merged group, ours
 
 LABEL_PROMPT = """You are a research topic summarizer.
 The following keywords describe a scientific topic cluster:
@@ -176,9 +177,18 @@ def merged_names(members: DataFrame, group: str, name: str = "name") -> DataFram
         group, F.coalesce("_name", F.lit(DEFAULT_MERGED_NAME)).alias("name"))
 
 
-def merge_prompts(members: DataFrame, group: str, name: str = "name") -> DataFrame:
-    """(group, prompt): member names and their words, for a model that names groups."""
-    listed = members.groupBy(group).agg(F.array_sort(F.collect_list(name)).alias("names"))
+def merge_prompts(members: DataFrame, group: str, name: str = "name",
+                  most: int = MERGE_NAMES) -> DataFrame:
+    """(group, prompt): member names and their words, for a model that names groups.
+
+    A prompt lists at most ``most`` names, in the order of names; a group has as many as it
+    has members, which no model could read.
+    """
+    few = top_k(members.where(F.col(name).isNotNull()).select(group, name), [group],
+                [F.asc(name)], most, salt=F.col(name))
+    listed = members.select(group).distinct().join(few.groupBy(group).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("rank", name))), lambda n: n[name]).alias("names")),
+        group, "left").withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
     words = F.flatten(F.transform("names", lambda n: F.split(n, " ")))
     keywords = F.when(F.size(words) > 0,
                       F.concat(F.lit("Keywords: "), F.array_join(words, ", "))).otherwise("")
@@ -186,6 +196,16 @@ def merge_prompts(members: DataFrame, group: str, name: str = "name") -> DataFra
         MERGE_PROMPT, F.array_join("names", ", "), keywords).alias("prompt"))
 
 
+def model_namer(model, most: int = MERGE_NAMES):
+    """A namer for the merge ladder that asks ``model`` (see `ask`); a group without an answer
+    is called ``General``."""
+    def namer(members: DataFrame, group: str, name: str = "name") -> DataFrame:
+        answered = ask(merge_prompts(members, group, name, most), "prompt", "_answer", model)
+        return cut(answered.select(group, F.coalesce("_answer", F.lit(DEFAULT_MERGED_NAME))
+                                   .alias("name")), "answers")
+    return namer
+
+
 def run_metadata(labels: DataFrame, cluster: str, best_config: str = "{}",
                  use_model: bool = False) -> DataFrame:
     """One row about a run: clusters, outliers, configuration, time."""

@@ -21,7 +21,7 @@ from .neighbours import (BLOCK_ROWS, Points, cosine_limit, distinct_points, link
 TOP_THRESHOLD, LOW_THRESHOLD, THRESHOLD_STEP = 0.95, 0.5, 0.03
 # ------------------------------------------------------------------------------
 
-NODES = ["node_id", "name", "leaves", "vec"]
+NODES = ["node_id", "name", "leaves", "vec", "configs"]
 HISTORY = ("level double, round int, child_id bigint, parent_id bigint, new_name string")
 
 
@@ -30,10 +30,21 @@ def default_levels() -> list[float]:
     return [round(TOP_THRESHOLD - THRESHOLD_STEP * k, 2) for k in range(steps + 1)]
 
 
-def as_nodes(df: DataFrame, node: str, vec: str, name: str) -> DataFrame:
-    """Bring a centroid table to the columns the ladder works on."""
+def as_nodes(df: DataFrame, node: str, vec: str, name: str,
+             config: str | None = None) -> DataFrame:
+    """Bring a centroid table to the columns the ladder works on. ``configs`` lists the
+    configurations that a node's leaves come from."""
+    configs = F.array(F.col(config)) if config else F.array().cast("array<string>")
     return df.select(F.col(node).cast("bigint").alias("node_id"), F.col(name).alias("name"),
-                     F.lit(1).cast("bigint").alias("leaves"), as_vector(F.col(vec)).alias("vec"))
+                     F.lit(1).cast("bigint").alias("leaves"), as_vector(F.col(vec)).alias("vec"),
+                     configs.alias("configs"))
+
+
+def _complete(nodes: DataFrame) -> DataFrame:
+    """The ladder's columns of a node table, which may lack ``configs``."""
+    if "configs" not in nodes.columns:
+        nodes = nodes.withColumn("configs", F.array().cast("array<string>"))
+    return nodes.select(*NODES)
 
 
 @dataclass
@@ -57,7 +68,10 @@ def _merge(nodes: DataFrame, p: Points, linked: DataFrame | None, round_no: int,
                .where("n > 1").select("component", "parent_id"))
     members = cut(groups.join(parents, "component").join(nodes, "node_id")
                   .select("parent_id", *NODES), "members")
-    leaves = members.groupBy("parent_id").agg(F.sum("leaves").alias("leaves"))
+    # There are few configurations, however many members.
+    leaves = members.select("parent_id", "leaves", F.explode_outer("configs").alias("_c")).groupBy(
+        "parent_id").agg(F.array_sort(F.collect_set("_c")).alias("configs")).join(
+        members.groupBy("parent_id").agg(F.sum("leaves").alias("leaves")), "parent_id")
     created = cut(mean_vectors(members, ["parent_id"], "vec", weight)
                   .join(leaves, "parent_id").join(namer(members, "parent_id", "name"), "parent_id")
                   .select(F.col("parent_id").alias("node_id"), *NODES[1:]), "merged")
@@ -71,6 +85,7 @@ def _merge(nodes: DataFrame, p: Points, linked: DataFrame | None, round_no: int,
 def merge_round(nodes: DataFrame, threshold: float, weight: str | None = None,
                 namer=merged_names, block_rows: int = BLOCK_ROWS) -> Round:
     """One round at one threshold."""
+    nodes = _complete(nodes)
     stride = _stride(nodes)
     p = distinct_points(nodes, "node_id", "vec")
     linked = linked_points(p, cosine_limit(threshold), block_rows)
@@ -106,7 +121,7 @@ def merge_ladder(nodes: DataFrame, levels: Sequence[float] | None = None,
     spark: SparkSession = nodes.sparkSession
     every = sorted(set(default_levels() if levels is None else levels), reverse=True)
     levels = every
-    nodes = cut(nodes.select(*NODES), "nodes")
+    nodes = cut(_complete(nodes), "nodes")
     stride = _stride(nodes)
     p = distinct_points(nodes, "node_id", "vec")
     start, round_no = nodes.count(), 0

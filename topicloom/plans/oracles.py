@@ -313,6 +313,29 @@ SELECT h.doc_id, coalesce(cluster_id, -1)::BIGINT AS cluster_id
 FROM hashed h LEFT JOIN found ON found.node = h.doc_id"""
 
 
+def chain(epsilons: dict[str, float], size: int = 10) -> str:
+    """found(config, doc_id, file, component, n) over the papers that the pipelines make of the
+    documents: numbered, cleaned, embedded, clustered at each radius."""
+    opening = f"(?i)^({'|'.join(Q.X.BOILERPLATE_WORDS)})({NOT_WORD}|$)"
+    values = ", ".join(f"('{k}', {e}::DOUBLE)" for k, e in epsilons.items())
+    return f"""
+WITH RECURSIVE numbered AS (SELECT row_number() OVER (ORDER BY doc_id::VARCHAR) - 1 AS doc_id,
+  doc_id::VARCHAR AS file, source AS title, {clean('text')} AS c FROM main.documents),
+documents AS (SELECT doc_id, file, title || ' ' || c AS text, '' AS lang, '' AS source FROM numbered
+  WHERE NOT regexp_matches(c, {lit(opening)})),
+{HASHED}, {CORES},
+radii(config, r) AS (VALUES {values}),
+dense AS MATERIALIZED (SELECT config, r, node FROM radii JOIN cores ON core <= r),
+links AS MATERIALIZED (SELECT a.config, i, j FROM dist JOIN dense a ON a.node = i AND d <= a.r
+  JOIN dense b ON b.node = j AND b.config = a.config WHERE i < j),
+{keyed_components("lab", "dense", "links", "config")},
+big AS (SELECT config, root, row_number() OVER (PARTITION BY config ORDER BY root) - 1 AS cluster_id
+        FROM lab GROUP BY config, root HAVING count(*) >= {size}),
+found AS MATERIALIZED (SELECT radii.config, d.doc_id, d.file, coalesce(cluster_id, -1)::BIGINT AS cluster_id
+  FROM documents d CROSS JOIN radii LEFT JOIN lab ON lab.node = d.doc_id AND lab.config = radii.config
+  LEFT JOIN big ON big.config = lab.config AND big.root = lab.root)"""
+
+
 def ladder(levels: list[float], rounds_per_level: int = 4) -> tuple[str, str, str]:
     """The rounds of the ladder one after the other: the common tables, the
     history, and the nodes after each level.
@@ -605,6 +628,17 @@ up(leaf_id, level, round, node_id) AS (
   UNION ALL SELECT u.leaf_id, h.level, h.round, h.parent_id FROM up u JOIN h ON h.child_id = u.node_id)
 SELECT * FROM up"""
 
+    # Pipelines
+    found = chain({"5_10": 0.6, "10_10": 0.45})
+    sql["documents_to_clusters"] = f"""{found},
+score AS (SELECT config, count(DISTINCT cluster_id) FILTER (cluster_id <> -1)
+  / (1 + count(*) FILTER (cluster_id = -1) / greatest(1, count(*))) AS score FROM found GROUP BY config)
+SELECT doc_id, file, cluster_id FROM found
+WHERE config = (SELECT arg_max(config, struct_pack(a := round(score, 6), b := config = '5_10')) FROM score)"""
+    sql["clusters_to_hierarchy"] = f"""{found}
+SELECT row_number() OVER (ORDER BY source_config, cluster_id) - 1 AS node_id, source_config, cluster_id
+FROM (SELECT DISTINCT config AS source_config, cluster_id FROM found WHERE cluster_id <> -1)"""
+
     # Plot data
     grid = f"""WITH p AS (SELECT embedding[1] AS x, embedding[2] AS y, cluster_id::VARCHAR AS cluster_id
                           FROM ({noisy()})),
@@ -613,6 +647,22 @@ SELECT least(floor((x - x0) / (x1 - x0) * 1000), 999)::BIGINT AS px,
        least(floor((y - y0) / (y1 - y0) * 800), 799)::BIGINT AS py, cluster_id, count(*) AS n
 FROM p, b GROUP BY ALL"""
     sql["density_grid"] = grid
+    box = " UNION ALL ".join(f"""SELECT {r} AS r, count(*) / ((SELECT count(*) FROM shade) * {(2 * r + 1) ** 2 - 1.0}) AS full_
+  FROM shade a JOIN shade b ON abs(a.px - b.px) <= {r} AND abs(a.py - b.py) <= {r} AND (a.px, a.py) <> (b.px, b.py)"""
+                            for r in (1, 2, 3))
+    sql["grid_shades"] = f"""WITH grid AS ({grid.replace("1000), 999", "100), 99").replace("800), 799", "80), 79")}),
+pixel AS (SELECT px, py, sum(n)::BIGINT AS n, arg_min(cluster_id, struct_pack(a := -n, b := cluster_id)) AS cluster_id
+          FROM grid GROUP BY px, py),
+level AS (SELECT px, py, n, cluster_id, cume_dist() OVER (ORDER BY n) AS level FROM pixel),
+shade AS MATERIALIZED (SELECT px, py, n, cluster_id, round(80 + 175 * CASE WHEN max(level) OVER () > min(level) OVER ()
+    THEN (level - min(level) OVER ()) / (max(level) OVER () - min(level) OVER ()) ELSE 1 END, 6) AS alpha FROM level),
+density AS ({box}),
+radius AS (SELECT coalesce(min(r) FILTER (full_ > 0.7) - 1, 3) AS r FROM density),
+moved AS (SELECT s.px + x AS px, s.py + y AS py, s.cluster_id, s.n, s.alpha,
+    row_number() OVER (PARTITION BY s.px + x, s.py + y ORDER BY alpha DESC, n DESC, s.px, s.py) AS place
+  FROM shade s, radius, range(-3, 4) AS a(x), range(-3, 4) AS b(y) WHERE x * x + y * y <= r * r)
+SELECT px, py, cluster_id, n, alpha FROM moved
+WHERE place = 1 AND px BETWEEN 0 AND 99 AND py BETWEEN 0 AND 79"""
     sql["hover_sample"] = f"""SELECT vec_id, round(embedding[1], 6) AS x, round(embedding[2], 6) AS y,
   cluster_id::VARCHAR AS cluster_id, 'vector ' || vec_id AS title FROM ({noisy()})
 ORDER BY md5('42:' || vec_id::VARCHAR), vec_id LIMIT 200"""

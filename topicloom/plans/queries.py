@@ -23,6 +23,7 @@ from ..operators.tfidf import tfidf_terms, token_counts
 from ..session import cut, scratch_path
 from ..sources import centroid_files, records, tables
 from ..streaming.ingest import ingest
+from . import clusters, hierarchy
 from . import documents as D
 
 KEYS = {"documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "labels": "doc_id",
@@ -564,6 +565,13 @@ def density_grid(spark, folder):
     return plotdata.density_grid(points(spark, folder), "cluster_id")
 
 
+@query
+def grid_shades(spark, folder):
+    """The pixels of 100 x 80 as they are drawn, lone ones grown."""
+    grid = cut(plotdata.density_grid(points(spark, folder), "cluster_id", 100, 80), "grid")
+    return plotdata.spread(plotdata.shades(grid, "cluster_id"), "cluster_id", width=100, height=80)
+
+
 @query
 def hover_sample(spark, folder):
     titled_points = points(spark, folder).withColumn(
@@ -575,3 +583,39 @@ def hover_sample(spark, folder):
 @query
 def color_index(spark, folder):
     return plotdata.color_index(noisy_labels(spark, folder), "cluster_id")
+
+
+# --- Pipelines, end to end -----------------------------------------------------------------
+
+def raw_documents(spark, folder) -> DataFrame:
+    """Documents as they come out of record files."""
+    return read(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("file"), F.col("source").alias("title"),
+        F.col("text").alias("abstract"))
+
+
+def run_chain(spark, folder) -> str:
+    """Raw documents to embedded papers to clusters and their centroid files."""
+    root = scratch_path(spark, "chain")
+    D.run(raw_documents(spark, folder), f"{root}/final")
+    papers = spark.read.parquet(f"{root}/final/papers")
+    clusters.run(papers, f"{root}/results", "doc_id",
+                 [{"epsilon": 0.6, "neighbors": 5}, {"epsilon": 0.45, "neighbors": 10}],
+                 reduction=None)
+    return root
+
+
+@query
+def documents_to_clusters(spark, folder):
+    """The number that the first pipeline gave each document, and its cluster by the second."""
+    found = spark.read.parquet(f"{run_chain(spark, folder)}/results/clustered")
+    return found.select("doc_id", "file", "cluster_id")
+
+
+@query
+def clusters_to_hierarchy(spark, folder):
+    """The clusters of both configurations, as the third pipeline read them."""
+    root = run_chain(spark, folder)
+    hierarchy.run(spark, f"{root}/results/centroids", f"{root}/hierarchy")
+    return spark.read.parquet(f"{root}/hierarchy/leaves").select(
+        "node_id", "source_config", "cluster_id")

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", app: str = "topicloom", **conf: str) -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+    """A session for tests and benchmarks on one machine, where the tasks' Python finds this
+    package wherever the driver was started. On a cluster the package is installed, or
+    sent along with ``--py-files``."""
+    home = str(Path(__file__).resolve().parents[1])
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
