@@ -128,7 +128,9 @@ def test_languages_in_the_chain(spark, small, tmp_path):
     assert kept.count() == got.where("title_lang IS NOT NULL AND abstract_lang IS NOT NULL").count()
 
 
-def test_layout_as_reduction(spark, small):
+def test_layout_as_reduction(spark, small, monkeypatch):
+    real = clusters.graph_layout
+    monkeypatch.setattr(clusters, "graph_layout", lambda *a: real(*a, rounds=2))
     docs = Q.hashed(spark, small).select("doc_id", F.col("vec").alias("embedding"))
     placed = clusters.reduced(docs, "doc_id", "embedding", "layout", 5)
     assert placed.count() == docs.count()

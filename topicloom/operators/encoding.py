@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +23,15 @@ def embed_with(df: DataFrame, text: str,
     list of texts; loading a model belongs there. Filters and cleaning should
     come before: the optimizer does not push them through.
     """
-    schema = df.select("*", F.array().cast("array<double>").alias(out)).schema
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<double>")
+    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = encoder()
-        for pdf in frames:
-            vectors: list = []
-            for start in range(0, len(pdf), batch):
-                texts = pdf[text].iloc[start:start + batch].fillna("").tolist()
-                vectors.extend([float(x) for x in v] for v in encode(texts))
-            pdf[out] = vectors
-            yield pdf
-
-    return df.mapInPandas(run, schema).withColumn(out, unit(finite(F.col(out))))
+        for texts in batches:
+            found: list = []
+            for start in range(0, len(texts), batch):
+                part = texts.iloc[start:start + batch].fillna("").tolist()
+                found.extend(np.asarray(v, np.float64) for v in encode(part))
+            yield pd.Series(found, dtype=object)
+
+    # Only the texts travel to Python.
+    return df.withColumn(out, unit(finite(vectors(F.col(text)))))

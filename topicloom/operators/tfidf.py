@@ -51,17 +51,21 @@ def tfidf_terms(df: DataFrame, group: str, doc: str, text: str, top_n: int = TOP
                 drop_words: Sequence[str] | None = None) -> DataFrame:
     """The ``top_n`` terms of every group by summed, length-normalised TF-IDF.
 
-    Returns (group, rank, term, score). ``doc`` must be unique. Counting stays
-    inside the document's row. What shuffles is (group, term) totals, reduced
-    before they leave a task, and the counts of kept terms, once, by document.
+    Returns (group, rank, term, score). ``doc`` must be unique. A text is taken apart once:
+    each document's counts are written as one row, and read for the totals and for the
+    weights. What shuffles is (group, term) totals, reduced before they leave a task, and
+    the counts of kept terms, once, by document.
     """
     drop_words = stop_words() if drop_words is None else drop_words
     texts = df.select(group, doc, text).where(~is_blank(F.col(text)))
-    terms = document_terms(texts, text, [group, doc], drop_words)
+    listed = cut(texts.select(group, doc, counted(without(tokens(F.col(text)), drop_words))
+                              .alias("t")), "terms")
+    terms = listed.select(group, doc, F.explode("t").alias("t")).select(
+        group, doc, F.col("t.term").alias("term"), F.col("t.tf").alias("tf"))
 
     totals = (terms.groupBy(group, "term")
               .agg(F.sum("tf").alias("total"), F.count("*").alias("df")))
-    sizes = texts.groupBy(group).agg(F.count("*").alias("n"))
+    sizes = listed.groupBy(group).agg(F.count("*").alias("n"))
     vocabulary = top_k(totals, [group], [F.desc("total"), F.asc("term")], max_features,
                        rank="_r", salt=F.col("term")).drop("_r")
     idf = F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1

@@ -405,6 +405,10 @@ def oracles() -> dict[str, str]:
                              f"FROM ({ENVELOPE})")
     sql["scan_records"] = f"SELECT title, abstract FROM ({ENVELOPE})"
     sql["ingest_incremental"] = f"SELECT title, abstract FROM ({ENVELOPE})"
+    sql["ingest_upsert"] = f"""
+SELECT doc_id, CASE WHEN lang = 'de' THEN 2 ELSE 1 END AS version,
+  {strip("replace(replace(CASE WHEN lang = 'de' THEN 'new ' ELSE '' END || text, chr(13) || chr(10), chr(10)), chr(13), chr(10))")} AS abstract
+FROM documents"""
     sql["union_batches"] = """
 SELECT 'documents' AS batch, doc_id AS id, text, lang FROM documents
 UNION ALL SELECT 'benchmark', item_id, text, NULL FROM benchmark"""
@@ -559,8 +563,13 @@ FROM (SELECT config, count(DISTINCT cluster_id) FILTER (cluster_id <> -1) AS n_c
 
     # Labels
     sql["cluster_info"] = f"WITH {info()} SELECT * FROM info"
-    sql["label_docs"] = sql["relabel"] = f"""WITH {info()}
+    sql["label_docs"] = f"""WITH {info()}
 SELECT c.doc_id, c.cluster_id, i.name, i.summary FROM clustered c LEFT JOIN info i USING (cluster_id)"""
+    # Case 0 has rows without a name and is labelled again, case 1 has none and stays.
+    sql["relabel"] = f"""WITH {info()}
+SELECT 0 AS run, c.doc_id, c.cluster_id, i.name, i.summary FROM clustered c LEFT JOIN info i USING (cluster_id)
+WHERE EXISTS (SELECT 1 FROM clustered WHERE cluster_id <> -1 AND length(text) <= 1000)
+UNION ALL SELECT 1, doc_id, cluster_id, 'outdated', 'old' FROM clustered"""
     sql["prompt_table"] = f"WITH {prompts()} SELECT * FROM prompts"
     sql["name_with"] = f"""WITH {prompts()}
 SELECT i.cluster_id, i.keywords,

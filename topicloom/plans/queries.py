@@ -22,6 +22,7 @@ from ..operators.reduction import reduce_dims
 from ..operators.tfidf import tfidf_terms, token_counts
 from ..session import cut, scratch_path
 from ..sources import centroid_files, records, tables
+from ..streaming import upsert
 from ..streaming.ingest import ingest
 from . import clusters, hierarchy
 from . import documents as D
@@ -141,6 +142,22 @@ def ingest_incremental(spark, folder):
     return spark.read.parquet(out).select("title", "abstract")
 
 
+@query
+def ingest_upsert(spark, folder):
+    """Three deliveries: documents with even ids, all documents, and the German ones changed."""
+    root, out, state = (scratch_path(spark, f"upsert-{k}") for k in ("in", "out", "state"))
+    docs = read(spark, folder, "documents")
+    deliveries = [docs.where("doc_id % 2 = 0"), docs,
+                  docs.where("lang = 'de'").withColumn("text", F.concat(F.lit("new "), "text"))]
+    for number, rows in enumerate(deliveries):
+        xml = records.to_record([(F.concat(F.lit("record "), F.col("doc_id")), None)], F.col("text"))
+        rows.select(xml).write.text(f"{root}/{number}")
+        upsert.ingest_upsert(spark, root, out, state, F.col("title"), pattern="*.txt",
+                             record_end=records.RECORD_END)
+    return upsert.newest(spark, out).select(
+        F.substring_index("key", " ", -1).cast("bigint").alias("doc_id"), "version", "abstract")
+
+
 @query
 def union_batches(spark, folder):
     docs = read(spark, folder, "documents").select(
@@ -459,11 +476,15 @@ def label_docs(spark, folder):
 
 @query
 def relabel(spark, folder):
-    """Documents that carry an outdated, partly empty name."""
-    named = clustered(spark, folder).withColumns({
-        "name": F.when(F.length("text") > 1000, F.lit("outdated")), "summary": F.lit("old")})
-    return labels.relabel(named, "cluster_id", "doc_id", "text").select(
-        "doc_id", "cluster_id", "name", "summary")
+    """Documents with an outdated name: in run 0 only some have one, in run 1 all."""
+    runs = []
+    for number, name in enumerate([F.when(F.length("text") > 1000, F.lit("outdated")),
+                                   F.lit("outdated")]):
+        named = clustered(spark, folder).withColumns({"name": name, "summary": F.lit("old")})
+        done = labels.relabel(named, "cluster_id", "doc_id", "text")
+        runs.append((named if done is None else done).select(
+            F.lit(number).alias("run"), "doc_id", "cluster_id", "name", "summary"))
+    return tables.union_batches(*runs)
 
 
 def prompts(spark, folder, described: DataFrame) -> DataFrame:

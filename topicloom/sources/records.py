@@ -54,8 +54,8 @@ def with_known_prefixes(xml: Column) -> Column:
     return xml
 
 
-def extract_record(df: DataFrame, file: str, xml: str) -> DataFrame:
-    """(file, title, abstract, corrupt) of each XML text.
+def extract_record(df: DataFrame, file: str, xml: str, *keep: str) -> DataFrame:
+    """(file, title, abstract, corrupt, keep...) of each XML text.
 
     The title is the first one not marked English, else the first one. XML that
     cannot be parsed gives nulls and is kept in ``corrupt``.
@@ -80,7 +80,7 @@ def extract_record(df: DataFrame, file: str, xml: str) -> DataFrame:
         F.col(file).alias("file"),
         F.when(sound, title).alias("title"),
         F.when(sound, strip(first_text(notation))).alias("abstract"),
-        F.col("_bad").alias("corrupt"))
+        F.col("_bad").alias("corrupt"), *keep)
 
 
 def read_options(pattern: str, record_end: str | None) -> dict:
@@ -93,13 +93,15 @@ def read_options(pattern: str, record_end: str | None) -> dict:
     return options | ({"lineSep": record_end} if record_end else {"wholetext": "true"})
 
 
-def as_xml(df: DataFrame, record_end: str | None) -> DataFrame:
-    """(file, xml) from what the text source read, batch or stream."""
+def as_xml(df: DataFrame, record_end: str | None, modified: str | None = None) -> DataFrame:
+    """(file, xml) from what the text source read, batch or stream; with ``modified`` the time
+    of the file under that name."""
     xml = F.col("value")
     if record_end:
         df = df.where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
         xml = F.concat("value", F.lit(record_end))
-    return df.select(F.col("_metadata.file_path").alias("file"), strip(xml).alias("xml"))
+    time = [F.col("_metadata.file_modification_time").alias(modified)] if modified else []
+    return df.select(F.col("_metadata.file_path").alias("file"), strip(xml).alias("xml"), *time)
 
 
 def scan_files(spark: SparkSession, root: str | list[str], pattern: str = PATTERN,
