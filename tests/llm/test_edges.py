@@ -211,3 +211,39 @@ def test_language_model_bounds_do_not_change_scores(docs, monkeypatch):
         fewer, joined = scores()
         assert fewer <= most < pairs
         assert joined == pytest.approx(whole, rel=1e-9)
+
+
+def test_html_takes_linear_time():
+    """Pages on which a pattern that reads again would take minutes or for ever."""
+    import time
+    start = time.perf_counter()
+    for page in ("<a " + 'x="y" ' * 5000, "<script 'a" * 20_000, "<a x='" * 20_000,
+                 "<p>" + '<b class="' * 20_000, "<" * 100_000, "<!" * 100_000, "<a " + "'" * 100_000):
+        html_text.main_text(page)
+    assert time.perf_counter() - start < 5
+
+
+PROSE = "The dog and the cat were in the house, and it was good for all of them that they had come."
+
+
+@pytest.mark.parametrize("name,kept", [("no-sidebar", True), ("has-sidebar", True),
+                                       ("wrapper without-footer", True), ("sidebar-left", False),
+                                       ("cookie-consent", False), ("page", True)])
+def test_html_wrappers(name, kept):
+    page = f'<body><div class="{name}"><p>{PROSE}</p></div></body>'
+    assert html_text.main_text(page) == (PROSE if kept else "")
+
+
+def test_html_in_other_languages():
+    text = "Это длинный русский текст, который должен остаться на странице целиком. " * 2
+    page = (f'<body><ul><li><a href="/">Главная</a></li><li><a href="/n">Новости</a></li></ul>'
+            f"<p>{text}</p><p><a href='/x'>{text}</a></p><footer>© {text}</footer></body>")
+    assert html_text.main_text(page) == text.strip()
+
+
+def test_html_with_odd_columns(spark):
+    rows = spark.createDataFrame([(1, "u", f"<article><p>{PROSE}</p></article>", 5, 6)],
+                                 "page_id int, `odd.name` string, html string, `a b` int, text int")
+    got = html_text.extract(rows)
+    assert got.columns == ["page_id", "odd.name", "a b", "text"]
+    assert tuple(got.first()) == (1, "u", 5, PROSE)

@@ -17,9 +17,12 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Thresholds: characters, share of stop words, share of characters inside links.
 SHORT, STOP_HIGH, LINK_HIGH = 70, 0.12, 0.4
+# For pages in other languages than those of the stop words.
+FOREIGN_LENGTH, FOREIGN_LINKS, FOREIGN_STOP = 40, 0.2, 0.02
 
 STOP_WORDS = frozenset("""
 a an and are as at be but by for from had has have he her his in is it its not of on or
@@ -35,10 +38,13 @@ se sin su sus también un una y ya
 # Elements whose text is never prose of the page.
 _SILENT = ("script style noscript template svg math iframe object canvas textarea select button "
            "head audio video map datalist").split()
+# Attributes up to the end of a tag. Quotes pair up only where no < or > comes between, and
+# nothing once read is read again, so a tag costs its own length.
+_INSIDE = r"(?>[^<>\"']+|\"[^\"<>]*\"|'[^'<>]*'|[\"'])*+"
 _CUT = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    .format("|".join(_SILENT)), re.S | re.I)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<>]*\"|'[^'<>]*'|[\"'])*)>|<[!?][^>]*>")
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({})\b{}>.*?(?:</\1\s*+>|\Z)"
+    .format("|".join(_SILENT), _INSIDE), re.S | re.I)
+_TAG = re.compile(rf"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)({_INSIDE})>|<[!?][^<>]*+>")
 _HALF_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPACE = re.compile(r"\s+")
@@ -58,6 +64,8 @@ modal overlay newsletter subscribe subscription signup signin login register sha
 related recommended recommendations widget widgets comment comments commentlist disqus respond
 reply replies pagination pager paging skip copyright legal disclaimer tags search form alert
 """.split())
+# Before such a name they say that the page goes with or without the thing, not that it is one.
+_ABOUT = frozenset("no non not without with has have hide hides".split())
 
 
 @dataclass
@@ -69,6 +77,12 @@ class Block:
     heading: bool
 
 
+def _parts(token: str) -> list[str]:
+    """The words of a class or id that name what the element is."""
+    words = re.split(r"[_-]+", token)
+    return [] if words[0] in _ABOUT else words
+
+
 def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in ASIDE_TAGS and not (tag == "header" and in_article):
         return True
@@ -77,7 +91,7 @@ def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            names = re.split(r"[\s_-]+", value)
+            names = [n for token in value.split() for n in _parts(token)]
             if not ASIDE_NAMES.isdisjoint(names) and not (in_article and "header" in names):
                 return True
         elif name == "role" and value in ASIDE_ROLES or name == "hidden":
@@ -174,9 +188,21 @@ def _alone(block: Block) -> bool | None:
     return True if dense else None
 
 
+def _foreign(block: Block) -> bool:
+    """Long, with few links, and without words of the listed languages."""
+    if len(block.text) < FOREIGN_LENGTH or block.linked > FOREIGN_LINKS * len(block.text):
+        return False
+    words = _WORD.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words) <= FOREIGN_STOP * len(words)
+
+
 def main_blocks(blocks: list[Block]) -> list[Block]:
     labels = [_alone(b) for b in blocks]
     n = len(blocks)
+    if True not in labels:
+        # No list of stop words fits the page: length and link density decide.
+        labels = [True if label is None and _foreign(b) else label
+                  for b, label in zip(blocks, labels)]
 
     def nearest(k: int, step: int) -> tuple[int, bool | None]:
         j = k + step
@@ -218,12 +244,12 @@ def extract(pages: DataFrame, page: str = "html", out: str = "text") -> DataFram
     kept = [c for c in pages.columns if c not in (page, out)]
     rows = pages.select(F.col(page).cast("string").alias("_page"),
                         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"))
-    row = rows.schema["_row"].dataType.simpleString()
+    schema = StructType([rows.schema["_row"], StructField("_out", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(value.as_py()) for value in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(texts, pa.string())],
                                              ["_row", "_out"])
-    return rows.mapInArrow(run, f"_row {row}, _out string").select(
+    return rows.mapInArrow(run, schema).select(
         "_row.*", F.col("_out").alias(out))
