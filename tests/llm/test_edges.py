@@ -247,3 +247,45 @@ def test_html_with_odd_columns(spark):
     got = html_text.extract(rows)
     assert got.columns == ["page_id", "odd.name", "a b", "text"]
     assert tuple(got.first()) == (1, "u", 5, PROSE)
+
+
+def test_warc_records_in_another_order(spark, tmp_path):
+    """A replica with its records reversed, one with two swapped; and what the files look like."""
+    import gzip
+    import re
+    from pathlib import Path
+    pages = spark.createDataFrame([(k, f"u{k}", f"body {k}") for k in range(7)],
+                                  "page_id bigint, url string, html string")
+    rows = warc.records(pages, "page_id", "url", "html", per_file=10)
+    warc.write_warc(rows, str(tmp_path / "w"))
+    file, = (tmp_path / "w").glob("replica=0/file=0/*.gz")
+    data = gzip.decompress(file.read_bytes())
+    found = re.findall(rb"WARC/1\.0\r\n((?:[^\r\n]+\r\n)+)\r\n", data)
+    assert len(found) == 7 and all(b"WARC-Date: " in h and b"WARC-Type: " in h for h in found)
+    parts = [b"WARC/1.0\r\n" + p for p in data.split(b"WARC/1.0\r\n")[1:]]
+    for p in parts:
+        head, body = p.split(b"\r\n\r\n", 1)
+        size = int(re.search(rb"Content-Length: (\d+)", head)[1])
+        assert body[size:] == b"\r\n\r\n" and len(body) == size + 4
+
+    def replica(name, order):
+        folder = Path(tmp_path / name / "file=0")
+        folder.mkdir(parents=True)
+        (folder / "part.txt.gz").write_bytes(gzip.compress(b"".join(parts[k] for k in order)))
+        return warc.read_warc(spark, str(tmp_path / name))
+    index, intact = warc.index_of(rows), warc.read_warc(spark, str(tmp_path / "w/replica=0"))
+
+    def statuses(order):
+        other = replica("r" + "".join(map(str, order)), order)
+        return {r.key: r.status for r in warc.fixity(index, intact, other).collect()}
+    assert statuses(range(7)) == {k: "ok" for k in range(7)}
+    assert statuses([6, 5, 4, 3, 2, 1, 0]) == {k: "ok" if k == 3 else "changed" for k in range(7)}
+    assert statuses([0, 2, 1, 3, 5, 6]) == {0: "ok", 1: "changed", 2: "changed", 3: "ok",
+                                            4: "missing", 5: "ok", 6: "ok"}
+
+
+def test_warc_null_keys_fill_several_files(spark):
+    pages = spark.createDataFrame([(None, f"u{k}", "b") for k in range(40)],
+                                  "page_id bigint, url string, html string")
+    files = warc.records(pages, "page_id", "url", "html", per_file=10).select("file").distinct()
+    assert 2 <= files.count() <= 4 and files.where("file >= 0").isEmpty()

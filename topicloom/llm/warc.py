@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 VERSION = "WARC/1.0\r\n"
+RECORD_END = "\r\n\r\n"
+NO_DATE = "1970-01-01T00:00:00Z"  # of pages that were kept without a date
 # Bits of the offset inside the lowest range, and bits that each level adds.
 RANGE_BITS, FAN_BITS, LEVELS = 18, 4, 4
 
@@ -33,7 +35,7 @@ def record(url: Column, name: Column, body: Column) -> Column:
     content = F.when(encoded, F.base64(F.encode(plain, "UTF-8"))).otherwise(plain)
     return F.concat(
         F.lit("WARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.coalesce(name, F.lit("")),
-        F.lit(">\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]", ""),
+        F.lit(f">\r\nWARC-Date: {NO_DATE}\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]", ""),
         F.lit("\r\nContent-Type: text/html\r\n"),
         F.when(encoded, F.lit("Content-Transfer-Encoding: base64\r\n")).otherwise(F.lit("")),
         F.lit("Content-Length: "),
@@ -44,11 +46,13 @@ def records(pages: DataFrame, key: str, url: str, body: str, per_file: int) -> D
     """(key, file, length, digest, record): the records in files of ``per_file`` keys.
 
     A file holds the keys of one interval in their order, rows that repeat by their
-    digest; rows without key share a file of their own.
+    digest; rows without key are dealt by a hash to files of their own, of about as many.
     """
     name = F.col(key).cast("string")
+    loose = max(1, -(-pages.where(F.col(key).isNull()).count() // per_file))
+    spread = -1 - F.pmod(F.xxhash64(url, body), F.lit(loose))
     rows = pages.select(F.col(key).cast("bigint").alias("key"), F.coalesce(
-        F.floor(F.col(key) / per_file), F.lit(-1)).cast("bigint").alias("file"),
+        F.floor(F.col(key) / per_file), spread).cast("bigint").alias("file"),
         record(F.col(url).cast("string"), name, F.col(body).cast("string")).alias("record"))
     return rows.select("key", "file", (F.octet_length("record") + len(VERSION)).cast("bigint")
                        .alias("length"), F.md5("record").alias("digest"), "record")
@@ -62,39 +66,46 @@ def index_of(rows: DataFrame) -> DataFrame:
         "key", "file", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length")
 
 
+def _without_end(held: Column) -> Column:
+    return F.when(held.endswith(RECORD_END), held.substr(F.lit(1), F.length(held) - len(RECORD_END))
+                  ).otherwise(held)
+
+
 def write_warc(rows: DataFrame, path: str, replicas: Sequence[Column] | None = None,
                mode: str = "error") -> None:
     """Write `records` as gzip files of whole records, one per replica and ``file``, in order.
 
     A replica is a column that gives the record it holds, null for none; without any
     there is one, of all records as they are. Replica k goes to ``path``/replica=k. The
-    contents are shuffled once for all of them. A WARC file is text whose lines end in
-    nothing of their own.
+    contents are shuffled once for all of them. Every record ends in two line ends, which
+    are written as the end of its "line"; a replica's record that lacks them gets them.
     """
     replicas = [F.col("record")] if replicas is None else replicas
     held = F.explode(F.array(*[F.struct(F.lit(k).alias("replica"), r.alias("held"))
                                for k, r in enumerate(replicas)]))
     (rows.repartition("file").select("key", "file", "digest", held.alias("r"))
      .where("r.held IS NOT NULL")
-     .select("key", "digest", "r.replica", "file", F.concat(F.lit(VERSION), "r.held").alias("value"))
-     .sortWithinPartitions("replica", "file", "key", "digest")
-     .select("replica", "file", "value")
-     .write.mode(mode).option("lineSep", "\x00\x00").option("compression", "gzip")
-     .partitionBy("replica", "file").text(path))
+     .sortWithinPartitions("r.replica", "file", "key", "digest")
+     .select("r.replica", "file", F.concat(F.lit(VERSION), _without_end(F.col("r.held")))
+             .alias("value"))
+     .write.mode(mode).option("lineSep", RECORD_END).option("compression", "gzip")
+     .option("zlib.compress.level", "BEST_SPEED").partitionBy("replica", "file").text(path))
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(file, name, url, length, announced, record) per record found below ``path``.
+    """(file, seat, name, url, length, announced, record) per record found below ``path``.
 
-    ``record`` is what stands after the version line. ``announced`` is the length of the
-    body that its headers state, which a cut or overwritten record does not keep.
+    ``record`` is what stands after the version line; ``seat`` grows with its place in the
+    file, which one task reads from start to end. ``announced`` is the length of the body
+    that its headers state, which a cut or overwritten record does not keep.
     """
     rows = spark.read.option("lineSep", VERSION).schema("value string, file bigint").text(path)
-    value = F.regexp_replace("value", "\\x00\\x00$", "")
-    rows = rows.select("file", value.alias("record")).where("record <> ''")
+    rows = rows.select("file", F.monotonically_increasing_id().alias("seat"),
+                       F.col("value").alias("record")).where("record <> ''")
     head = F.substring_index("record", "\r\n\r\n", 1)
     return rows.select(
-        "file", F.regexp_extract(head, r"WARC-Record-ID: <urn:page:([^>]*)>", 1).alias("name"),
+        "file", "seat",
+        F.regexp_extract(head, r"WARC-Record-ID: <urn:page:([^>]*)>", 1).alias("name"),
         F.regexp_extract(head, r"WARC-Target-URI: ([^\r\n]*)", 1).alias("url"),
         (F.octet_length("record") + len(VERSION)).cast("bigint").alias("length"),
         F.regexp_extract(head, r"Content-Length: (\d+)", 1).try_cast("bigint").alias("announced"),
@@ -168,10 +179,11 @@ def fixity(index: DataFrame, replica: DataFrame, against: DataFrame) -> DataFram
     """(key, file, offset, length, status) per record of ``index`` (key, file, offset, length).
 
     Both replicas are as `read_warc` gives them. Their records are digested where they
-    are read and find their places by
-    file and name in the index, repeats of one name by their order. A record that the
-    index does not know is placed after all offsets and reported as extra or missing
-    with a null key. Status is ok, changed, missing or extra.
+    are read and find their offsets by file and name in the index, repeats of one name in
+    the order in which they stand. A record that stands elsewhere among the file's records
+    than the index says is changed, also if its content is not. A record that the index
+    does not know is placed after all offsets and reported as extra or missing with a null
+    key. Status is ok, changed, missing or extra.
     """
     numbered = Window.partitionBy("file", "name").orderBy("offset")
     places = cut(index.select("key", "file", "offset", F.col("length").alias("stated"), F.coalesce(
@@ -179,13 +191,22 @@ def fixity(index: DataFrame, replica: DataFrame, against: DataFrame) -> DataFram
         "time", F.row_number().over(numbered)), "index")
 
     def at_place(rows: DataFrame) -> DataFrame:
-        digested = rows.select("file", "name", "length", F.md5("record").alias("order"), F.sha2(
+        digested = rows.select("file", "seat", "name", "length", F.sha2(
             F.concat(F.lit(VERSION), "record"), 256).alias("digest"))
         times = digested.withColumn("time", F.row_number().over(
-            Window.partitionBy("file", "name").orderBy("order")))
+            Window.partitionBy("file", "name").orderBy("seat")))
+        # Places among the records that are there, so that a missing one moves no other.
+        joined = times.join(places, ["file", "name", "time"], "left").withColumns({
+            "stands": F.row_number().over(Window.partitionBy("file").orderBy(
+                F.col("offset").isNull(), "seat")),
+            "belongs": F.row_number().over(Window.partitionBy("file").orderBy(
+                F.col("offset").isNull(), "offset"))})
+        moved = F.col("offset").isNotNull() & (F.col("stands") != F.col("belongs"))
         far = F.lit(1 << 42) + F.pmod(F.xxhash64("digest"), F.lit(1 << 40))
-        joined = times.join(places, ["file", "name", "time"], "left")
-        return cut(leaves(joined.withColumn("offset", F.coalesce("offset", far))), "leaves")
+        return cut(leaves(joined.withColumns({
+            "offset": F.coalesce("offset", far),
+            "digest": F.when(moved, F.concat("digest", F.lit("@"), "stands"))
+            .otherwise(F.col("digest"))})), "leaves")
 
     left, right = at_place(replica), at_place(against)
     found = cut(audit(left, right), "audit")
