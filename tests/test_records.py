@@ -135,3 +135,21 @@ def test_round_trip_through_xml(spark):
     got = records.extract_record(df.select(F.lit("f").alias("file"), xml.alias("xml")),
                                  "file", "xml").collect()
     assert {(r["title"], r["abstract"]) for r in got} == {("a <b> & c", None), (None, "x")}
+
+
+def test_large_file_is_read_by_several_tasks(spark, tmp_path):
+    """One file of many records: Spark cuts it between records, none is lost or doubled."""
+    body = "x" * 4000
+    xml = [f"<rdf:RDF><rdf:Description><dc:title>t{k}</dc:title><a>{body}</a></rdf:Description></rdf:RDF>"
+           for k in range(2000)]
+    (tmp_path / "all.rdf").write_text("\n".join(xml))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        found = records.scan_files(spark, str(tmp_path), record_end=records.RECORD_END)
+        parts = found.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(parts) > 3 and sum(r["count"] for r in parts) == 2000
+        got = records.extract_record(found, "file", "xml")
+        assert {r.title for r in got.select("title").collect()} == {f"t{k}" for k in range(2000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

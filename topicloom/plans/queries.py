@@ -524,8 +524,9 @@ def merged_names(spark, folder):
 
 @query
 def merge_prompts(spark, folder):
-    return labels.merge_prompts(topic_nodes(spark, folder).select(
-        F.substring_index("name", " ", 1).alias("lang"), "name"), "lang")
+    named = read(spark, folder, "documents").select(
+        "lang", F.concat_ws(" ", "lang", "source").alias("name")).distinct()
+    return labels.merge_prompts(named, "lang")
 
 
 @query
