@@ -76,13 +76,17 @@ def _chained(turns: DataFrame, *more: str) -> DataFrame:
     flat = chunks.select("conv", "chunk", F.inline("links"))
     if not seen["last"]:
         return flat.drop("chunk")
-    above = _chained(chunks.select("conv", F.col("chunk").alias("idx"),
-                                   F.element_at("links", -1)["chain"].alias("digest")))
-    before = above.select("conv", (F.col("idx") + 1).alias("chunk"), F.col("chain").alias("top"))
+    last = F.element_at("links", -1)["chain"]
+    above = _chained(chunks.select("conv", F.col("chunk").alias("idx"), last.alias("digest"),
+                                   last.alias("own")), "own")
+    # ``first`` is the chain of the last index of the chunk before.
+    before = above.select("conv", (F.col("idx") + 1).alias("chunk"), F.col("chain").alias("top"),
+                          F.when(F.col("prev") == "", F.col("own")).otherwise(
+                              F.sha2(F.concat("prev", "own"), 256)).alias("first"))
 
     def under(c):
-        return F.when(F.col("top").isNull(), F.col(c)).when(F.col(c) == "", F.col("top")).otherwise(
-            F.sha2(F.concat("top", c), 256)).alias(c)
+        return F.when(F.col("top").isNull(), F.col(c)).when(
+            F.col(c) == "", F.col("first")).otherwise(F.sha2(F.concat("top", c), 256)).alias(c)
     return flat.join(before, ["conv", "chunk"], "left").select(
         "conv", "idx", *more, under("prev"), under("chain"))
 
