@@ -29,12 +29,11 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .sharing import if_small
-from .words import grams, mix, words_of
+from .words import grams, words_of
 
 WINDOW, GRAM = 50, 10
 # Distinct strings of a minimiser that one task compares.
 CROWD = 2_000
-_OTHER = np.uint64(0xA0761D6478BD642F)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -131,10 +130,11 @@ def packed(docs: DataFrame, wanted: DataFrame, key: str, text: str, window: int)
 
 
 def _digests(column: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two independent 64-bit numbers of every window of every string, and windows per string."""
+    """Two 64-bit numbers of every window of every string, each from the bytes of its words
+    under keys of its own, and windows per string."""
     one, two, count = [], [], []
     for block in words_of(column):
-        for numbers, out in ((block.hashes, one), (mix(block.hashes ^ _OTHER), two)):
+        for numbers, out in ((block.hashes, one), (block.others(), two)):
             whole = grams(numbers, window)
             out.extend(whole[a: b - window + 1] for a, b in zip(block.first[:-1], block.first[1:]))
         count.append(block.counts() - window + 1)
