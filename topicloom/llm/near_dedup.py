@@ -200,8 +200,10 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     distinct ``words``-word shingles of A-Z lower-cased words; with fewer words the
     whole sequence is the one shingle. ``component_id`` is the smallest key that links
     reach. A text that is null or has no words is linked with nothing, and a row
-    without key is its own component, with null id. Rows that repeat are one document.
-    Extra columns are not read.
+    without key is its own component, with null id. Rows that repeat are one document and
+    each give a row. Rows of one key with different texts each give a row as well, with the
+    component of their text; texts that stand under one key share its links. Keys are
+    integers, or strings of them. Extra columns are not read.
     """
     rows = cut(signatures(docs, key, text, words), "signatures")
     linked = rows.where("digest IS NOT NULL AND doc IS NOT NULL")
@@ -251,7 +253,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
 
     found = connected_components(links)
     # A class carries its component to all its copies.
-    labelled = classes.select("doc").join(found, F.col("doc") == F.col("node"), "left").select(
+    labelled = classes.select("doc").distinct().join(found, F.col("doc") == F.col("node"), "left").select(
         "doc", F.coalesce("component", "doc").alias("component"))
     names = best.select("digest", F.col("best.doc").alias("doc")).join(labelled, "doc").select(
         "digest", "component")
