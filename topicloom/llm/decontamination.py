@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .sharing import if_small
+from .sharing import fresh, if_small
 
 WINDOW = 10
 # So many tokens of a window must be words, not placeholders.
@@ -148,6 +148,7 @@ def flag(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
                       **options) -> DataFrame:
     """The rows of ``docs`` that hold no part of an item, with all their columns."""
-    hits = cut(contaminated(docs, items, key, text, **options).select(F.col(key).alias("_hit"))
+    hit = fresh(docs, "_hit")
+    hits = cut(contaminated(docs, items, key, text, **options).select(F.col(key).alias(hit))
                .distinct(), "contaminated")
-    return docs.join(if_small(hits, 16), F.col(key) == F.col("_hit"), "left_anti")
+    return docs.join(if_small(hits, 16), F.col(key) == F.col(hit), "left_anti")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import ordinal
 from ..session import cut
+from .sharing import fresh
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Eight draws fit one digest, eight hexadecimal digits each.
@@ -104,13 +105,15 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     """The mixed documents: every row as often as it is emitted, numbered from 1 in ``copy``.
 
     The rate and the draw are properties of the source, so documents meet one row
-    per source and their texts stay where they are when that table is small.
+    per source and their texts stay where they are when that table is small. A column
+    that is already called ``copy`` is replaced; other names may clash with nothing.
     """
     plan = mix_plan(docs, key, source, text, weights, most, seed)
-    by_key = plan.select(F.col(key).alias("of_key"), F.col(source).alias("of_source"),
-                         F.col("copies").alias("times")).where("times > 0").distinct()
+    of_key, of_source, times = (fresh(docs, c) for c in ("of_key", "of_source", "times"))
+    by_key = plan.select(F.col(key).alias(of_key), F.col(source).alias(of_source),
+                         F.col("copies").alias(times)).where(F.col(times) > 0).distinct()
     rows = docs.withColumn(copy, F.lit(0)).join(
-        by_key, F.col(key).eqNullSafe(F.col("of_key"))
-        & F.col(source).eqNullSafe(F.col("of_source")))
-    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop(
-        "of_key", "of_source", "times")
+        by_key, F.col(key).eqNullSafe(F.col(of_key))
+        & F.col(source).eqNullSafe(F.col(of_source)))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).drop(
+        of_key, of_source, times)

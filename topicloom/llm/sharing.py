@@ -15,3 +15,11 @@ def if_small(df: DataFrame, row_bytes: int) -> DataFrame:
     ``df`` is a written table, so counting reads only its footers.
     """
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
