@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm import decontamination, exact_dedup, language_id, mixing, near_dedup
-from topicloom.llm.sharing import if_small
+from topicloom.llm.sharing import fresh, if_small
 from topicloom.session import cut
 
 
@@ -38,9 +38,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Documents without words, or without doc_id, have no near copies and stay.
     """
     found = near_dedup.near_groups(docs, num=80)
+    name = fresh(docs, "_gone")
     gone = cut(found.where(F.col("doc_id") != F.col("component_id"))
-               .select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(if_small(gone, 16), F.col("doc_id") == F.col("_gone"), "left_anti")
+               .select(F.col("doc_id").alias(name)).distinct(), "near-copies")
+    return docs.join(if_small(gone, 16), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
