@@ -68,9 +68,12 @@ FROM (SELECT {ids}{more}, unnest({vec}) AS x, unnest(range(1, len({vec}) + 1)) A
 
 
 TITLED = """titled AS (
-  SELECT d.doc_id, d.lang, d.source, 'quality ' || l.quality::VARCHAR AS title,
-         CASE WHEN d.lang IN ('en', 'de') THEN d.text WHEN d.lang = 'fr' THEN ' \u3000\u00a0' END AS abstract
-  FROM documents d LEFT JOIN labels l USING (doc_id))"""
+  SELECT d.doc_id, d.lang, d.source, 'quality ' || l.quality::VARCHAR AS title, d.text AS abstract
+  FROM documents d LEFT JOIN labels l USING (doc_id)
+  UNION ALL
+  SELECT -1 - doc_id, NULL, NULL,
+         CASE WHEN quality = 0 THEN ' \u3000\u00a0' ELSE 'quality ' || quality::VARCHAR END, NULL
+  FROM labels)"""
 
 CLUSTERED = r"""clustered AS (
   SELECT doc_id, CASE WHEN no = 0 THEN -1 ELSE no END AS cluster_id, text

@@ -62,14 +62,18 @@ def long_form(df: DataFrame, ids: Sequence[str], vec: str, *more: str) -> DataFr
 # --- Derived inputs, one row per given row ------------------------------------
 
 def titled(spark, folder) -> DataFrame:
-    """Documents with a title where a quality label exists, and an abstract where
-    the text is English or German."""
+    """Every document with its whole text as abstract, titled where a quality label exists;
+    and a record without abstract for every label, its title blank where quality is 0."""
     docs, lab = read(spark, folder, "documents"), read(spark, folder, "labels")
-    return docs.join(lab, "doc_id", "left").select(
-        "doc_id", "lang", "source",
-        F.concat(F.lit("quality "), F.col("quality").cast("string")).alias("title"),
-        F.when(F.col("lang").isin("en", "de"), F.col("text"))
-        .when(F.col("lang") == "fr", F.lit(" \u3000\u00a0")).alias("abstract"))
+    quality = F.concat(F.lit("quality "), F.col("quality").cast("string"))
+    given = docs.join(lab, "doc_id", "left").select(
+        "doc_id", "lang", "source", quality.alias("title"), F.col("text").alias("abstract"))
+    none = F.lit(None).cast("string")
+    bare = lab.select(
+        (-1 - F.col("doc_id")).alias("doc_id"), none.alias("lang"), none.alias("source"),
+        F.when(F.col("quality") == 0, F.lit(" \u3000\u00a0")).otherwise(quality).alias("title"),
+        none.alias("abstract"))
+    return given.unionByName(bare)
 
 
 def clustered(spark, folder) -> DataFrame:
