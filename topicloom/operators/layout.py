@@ -75,7 +75,9 @@ def graph_layout(near: DataFrame, weight: str | None = None, dims: int = DIMENSI
         return Layout(degrees.select("node", F.array().cast("array<double>").alias("coordinates")),
                       [], 0.0, 0)
     scale = degrees.select("node", F.sqrt("d").alias("r"))
-    scaled = edges.join(scale.toDF("i", "ri"), "i").join(scale.toDF("j", "rj"), "j").select(
+    # Tables of nodes are not sent through the driver, however small: there is one a round.
+    scaled = edges.join(scale.toDF("i", "ri").hint("merge"), "i").join(
+        scale.toDF("j", "rj").hint("merge"), "j").select(
         "i", "j", (F.col("w") / (F.col("ri") * F.col("rj"))).alias("s"))
     scaled = cut(scaled, "scaled")
     q = [f"q{k}" for k in range(size)]
@@ -100,9 +102,9 @@ def graph_layout(near: DataFrame, weight: str | None = None, dims: int = DIMENSI
         done += 1
         block = _turned(block, turn, "q")
         sent = block.select(F.col("node").alias("j"), *q)
-        sums = (scaled.join(sent, "j").groupBy(F.col("i").alias("node"))
+        sums = (scaled.join(sent.hint("merge"), "j").groupBy(F.col("i").alias("node"))
                 .agg(*[F.sum(F.col("s") * F.col(a)).alias(b) for a, b in zip(q, y)]))
-        product = block.join(sums, "node").select(
+        product = block.join(sums.hint("merge"), "node").select(
             "node", *q, *[((F.col(a) + F.col(b)) / 2).alias(b) for a, b in zip(q, y)])
         product, found = cut_with(product, "block", **square(q, y, "qy"), **square(y, y, "yy"))
         inner, outer = matrix(found, "qy"), matrix(found, "yy")
