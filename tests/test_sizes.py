@@ -89,3 +89,42 @@ def test_layout_sends_no_table_of_nodes_to_the_driver(spark, monkeypatch):
     assert layout.graph_layout(edges, "w", rounds=3).nodes.count() == 60
     assert any("SortMergeJoin" in p for p in plans)
     assert not any("Broadcast" in p for p in plans)
+
+
+@pytest.mark.parametrize("side", [5, 7])
+def test_any_two_packs_share_one_line(spark, side):
+    packs = spark.range(side * side)
+    pairs = packs.toDF("a").crossJoin(packs.toDF("b")).where("a <= b")
+    rows = neighbours._lines(pairs, side).collect()
+    assert len(rows) == len({(r.a, r.b) for r in rows}) == pairs.count()
+    assert all(r.whole == (r.a // side == r.b // side) for r in rows)
+    of_pack = {}
+    for r in rows:
+        of_pack.setdefault(r.a, set()).add(r.line)
+        of_pack.setdefault(r.b, set()).add(r.line)
+    assert all(len(lines) == side + 1 for lines in of_pack.values())
+    assert len({r.line for r in rows}) == side * (side + 1)
+
+
+def test_a_row_is_sent_six_times(spark, monkeypatch):
+    """All packs meet, and a row goes to half as many tasks as there were packs before."""
+    sent = []
+    real = neighbours.dealt_to_pairs
+
+    def dealt(*a):
+        out = real(*a)
+        sent.append(out.count())
+        return out
+    monkeypatch.setattr(neighbours, "dealt_to_pairs", dealt)
+    v = np.random.default_rng(2).normal(size=(900, 6))
+    p = neighbours.distinct_points(vectors(spark, v), "id", "v", "euclidean")
+    got = {(r.i, r.j) for r in neighbours.pairs_within(p, 1.5, block_rows=16).collect()}
+    assert sent and max(sent) <= 6 * 900
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2))
+    assert got == {(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(d <= 1.5, 1)))}
+
+
+def test_grid_grows_with_the_points():
+    sides = [neighbours._grid_side(n) for n in (1, 10 ** 6, 2 * 10 ** 6, 3 * 10 ** 6)]
+    assert sides == [5, 5, 11, 13]
+    assert all(n / neighbours._grid_side(n) <= neighbours.LINE_ROWS for n in (10 ** 6, 10 ** 7))
