@@ -43,6 +43,31 @@ def test_extract_record(spark):
     assert got[9]["corrupt"] and not any(got[n]["corrupt"] for n in range(9))
 
 
+PIECES = [
+    (record("<dc:title>a<![CDATA[b]]></dc:title>" + NOTE.format("<![CDATA[]]> x")), "a", ""),
+    (record("<dc:title><!-- c -->a<!-- d -->b</dc:title>" + NOTE.format("y<?p?>z")), "a", "y"),
+    (record("<dc:title xml:lang='en'>E</dc:title><dc:title><b>x</b></dc:title>"
+            + NOTE.format("\u00a0&lt;!&#xe000;\u3000")), None, "<!\ue000"),
+    (record("<dc:title xml:lang='en'/><dc:title xml:lang='en'>F</dc:title>"
+            + NOTE.format(" \n ")), None, ""),
+    (record('<x xmlns:other="http://purl.org/dc/elements/1.1/"><other:title>o</other:title></x>'
+            + NOTE.format("xmlns:q=")), None, "xmlns:q="),
+    (record('<x xmlns:other = "http://purl.org/dc/elements/1.1/"/><dc:title>p</dc:title>'),
+     "p", None),
+]
+
+
+def test_one_xpath_reads_a_record(spark):
+    """Every XPath parses its text again, so one reads what no CDATA or comment cuts."""
+    df = spark.createDataFrame([(str(n), xml) for n, (xml, _, _) in enumerate(PIECES)],
+                               "file string, xml string")
+    found = records.extract_record(df, "file", "xml")
+    got = {int(r["file"]): (r["title"], r["abstract"]) for r in found.collect()}
+    assert got == {n: (title, abstract) for n, (_, title, abstract) in enumerate(PIECES)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" AS _found#") == 1
+
+
 @pytest.fixture
 def folder(tmp_path):
     for n in range(7):

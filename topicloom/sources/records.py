@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import let, strip
+from ..functions.text import SPACE, let, strip
 from ..operators.ranking import sample_n
 
 # --- Fixed values: they decide results and must stay as they are. -------------
@@ -21,6 +21,16 @@ PATTERN = "*.rdf"
 RECORD_END = "</rdf:RDF>"
 # ------------------------------------------------------------------------------
 
+MARK = "\ufffe"  # in no XML text, between what one XPath gives
+
+
+def _declares_otherwise(xml: Column) -> Column:
+    """Whether a known namespace may have another prefix than ours, or none."""
+    known = "|".join(rf"\Q{uri}\E" for uri in NAMESPACES.values())
+    others = "".join(rf"|:(?!{prefix}\s*=)[\w.-]+\s*=\s*[\"']\Q{uri}\E[\"']"
+                     for prefix, uri in NAMESPACES.items())
+    return xml.rlike(rf"xmlns(?:\s*=\s*[\"'](?:{known})[\"']{others})")
+
 
 def with_known_prefixes(xml: Column) -> Column:
     """Rename a record's own prefixes for the known namespaces to ours, inside tags only.
@@ -48,17 +58,21 @@ def with_known_prefixes(xml: Column) -> Column:
         return F.when(on_root, everywhere).when(xml.rlike(default), alone).otherwise(xml)
 
     # Each step reads the text several times, so it is bound to a name, not repeated.
-    for prefix, uri in NAMESPACES.items():
-        for step in (renamed, given):
-            xml = let(xml, lambda x: step(x, prefix, uri))
-    return xml
+    def all_steps(xml: Column) -> Column:
+        for prefix, uri in NAMESPACES.items():
+            for step in (renamed, given):
+                xml = let(xml, lambda x: step(x, prefix, uri))
+        return xml
+
+    return let(xml, lambda x: F.when(~_declares_otherwise(x), x).otherwise(all_steps(x)))
 
 
 def extract_record(df: DataFrame, file: str, xml: str, *keep: str) -> DataFrame:
     """(file, title, abstract, corrupt, keep...) of each XML text.
 
     The title is the first one not marked English, else the first one. XML that
-    cannot be parsed gives nulls and is kept in ``corrupt``.
+    cannot be parsed gives nulls and is kept in ``corrupt``. Every XPath parses its text, so
+    one gives all that is asked for, unless CDATA or comments may cut a text in pieces.
     """
     every = f"//*[name()='{TITLE}']"
     preferred = f"({every}[not(@*[name()='xml:lang']='{SECOND_CHOICE_LANGUAGE}')])[1]"
@@ -74,12 +88,28 @@ def extract_record(df: DataFrame, file: str, xml: str, *keep: str) -> DataFrame:
             .withColumn("_bad", parsed["_bad"]))
     # xpath fails the job on malformed text, so it only sees what parsed.
     sound = F.col("_bad").isNull() & F.col("_xml").isNotNull()
+    whole = sound & ~F.contains("_xml", F.lit("<!"))
     title = F.when(F.xpath_boolean("_xml", F.lit(f"boolean({preferred})")),
                    first_text(preferred)).otherwise(first_text(f"({every})[1]"))
+    asked = [f"boolean({preferred})"] + [
+        f"{path}/text()[1]" for path in (preferred, f"({every})[1]", notation)]
+    at_once = F.xpath_string("_xml", F.lit("concat(" + f", '{MARK}', ".join(asked) + ")"))
+    rows = rows.withColumn("_found", F.when(whole, F.split(at_once, MARK)))
+
+    def found(place: int) -> Column:
+        # Only CDATA can be an empty text.
+        return F.nullif(F.get("_found", F.lit(place)), F.lit(""))
+
+    def stripped(c: Column) -> Column:
+        return F.when(F.left(c, F.lit(1)).rlike(SPACE) | F.right(c, F.lit(1)).rlike(SPACE),
+                      strip(c)).otherwise(c)
+
     return rows.select(
         F.col(file).alias("file"),
-        F.when(sound, title).alias("title"),
-        F.when(sound, strip(first_text(notation))).alias("abstract"),
+        F.when(whole, F.when(F.get("_found", F.lit(0)) == "true", found(1)).otherwise(found(2)))
+        .when(sound, title).alias("title"),
+        F.when(whole, stripped(found(3)))
+        .when(sound, strip(first_text(notation))).alias("abstract"),
         F.col("_bad").alias("corrupt"), *keep)
 
 
@@ -96,12 +126,14 @@ def read_options(pattern: str, record_end: str | None) -> dict:
 def as_xml(df: DataFrame, record_end: str | None, modified: str | None = None) -> DataFrame:
     """(file, xml) from what the text source read, batch or stream; with ``modified`` the time
     of the file under that name."""
-    xml = F.col("value")
+    xml = strip(F.col("value"))
     if record_end:
-        df = df.where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
+        df = df.where(F.col("value").rlike(r"\S"))
         xml = F.concat("value", F.lit(record_end))
+        # What does not end with space needs no search for it.
+        xml = strip(xml) if record_end[-1].isspace() else F.regexp_replace(xml, rf"^{SPACE}+", "")
     time = [F.col("_metadata.file_modification_time").alias(modified)] if modified else []
-    return df.select(F.col("_metadata.file_path").alias("file"), strip(xml).alias("xml"), *time)
+    return df.select(F.col("_metadata.file_path").alias("file"), xml.alias("xml"), *time)
 
 
 def scan_files(spark: SparkSession, root: str | list[str], pattern: str = PATTERN,
