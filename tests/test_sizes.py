@@ -128,3 +128,39 @@ def test_grid_grows_with_the_points():
     sides = [neighbours._grid_side(n) for n in (1, 10 ** 6, 2 * 10 ** 6, 3 * 10 ** 6)]
     assert sides == [5, 5, 11, 13]
     assert all(n / neighbours._grid_side(n) <= neighbours.LINE_ROWS for n in (10 ** 6, 10 ** 7))
+
+
+def test_packs_are_dealt_without_a_sort(spark, monkeypatch):
+    """Packs of about one size along the tree, for which no row is sorted or written again."""
+    from topicloom.operators import ranking
+
+    def no_sort(*_):
+        raise AssertionError("rows were numbered")
+    monkeypatch.setattr(ranking, "cut", no_sort)
+    v = np.random.default_rng(8).normal(size=(3000, 5))
+    p = neighbours.distinct_points(vectors(spark, v), "id", "v", "euclidean")
+    rows = p.points.selectExpr("id", "v", "0.0D AS core")
+    _, placed = neighbours._packed(rows, p.count, 16)
+    got = placed.select("id", "block", "pack").collect()
+    sizes = np.bincount([r.pack for r in got], minlength=neighbours.GRID ** 2)
+    assert len({r.id for r in got}) == len(got) == 3000
+    assert len(sizes) == neighbours.GRID ** 2 and 60 < sizes.min() and sizes.max() < 180
+    last = sorted((r.block, r.pack) for r in got)
+    ends = {b: [k for c, k in last if c == b] for b, _ in last}
+    order = sorted(ends)
+    assert all(max(ends[a]) <= min(ends[b]) for a, b in zip(order, order[1:]))
+    again = {(r.id, r.pack) for r in placed.repartition(7).select("id", "pack").collect()}
+    assert again == {(r.id, r.pack) for r in got}
+
+
+@pytest.mark.parametrize("most", [0, 1 << 17])
+def test_only_copied_vectors_meet_their_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(neighbours, "SHARED", most)
+    rows = [(1, [0.0, 1.0]), (2, [-0.0, 1.0]), (3, [1.0, 0.0]), (4, [2.0, 2.0]), (5, [0.0, 1.0]),
+            (7, [2.0, 2.0]), (7, [2.0, 2.0]), (None, [1.0, 0.0]), (8, None), (9, [float("nan"), 1.0])]
+    p = neighbours.distinct_points(spark.createDataFrame(rows, "id bigint, v array<double>"),
+                                   "id", "v", "euclidean")
+    assert sorted(tuple(r) for r in p.members.select("id", "point").collect()) == [
+        (1, 1), (2, 1), (3, 3), (4, 4), (5, 1), (7, 4), (7, 4), (9, 1)]
+    # Written once, however often the rows are looked up.
+    assert spark.read.parquet(*p.members.inputFiles()).columns == ["id", "point"]
