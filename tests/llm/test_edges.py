@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -289,3 +290,28 @@ def test_warc_null_keys_fill_several_files(spark):
                                   "page_id bigint, url string, html string")
     files = warc.records(pages, "page_id", "url", "html", per_file=10).select("file").distinct()
     assert 2 <= files.count() <= 4 and files.where("file >= 0").isEmpty()
+
+
+def test_language_model_has_a_context_for_every_word(docs, monkeypatch):
+    # Each line twice, and more words than 8,192 that are more frequent than x, y, a and b.
+    fill = " ".join(f"f{k}" for k in range(9000))
+    table = docs([(k, text) for k, text in enumerate([fill, fill, fill, "x a", "x a", "y b", "y b"])])
+    asked = docs([(1, "x a"), (2, "x b"), (3, "y a"), (4, "y b"), (5, "x never"), (6, "never a")])
+
+    def scores():
+        model, rest = language_model.fit(table)
+        got = language_model.score(asked, model, rest, F.lit(True)).collect()
+        return model, {r.doc_id: r.score for r in got}
+    model, whole = scores()
+    assert whole[1] > whole[2] + 0.5 and whole[4] > whole[3] + 0.5
+    # The parent's probabilities, and those of each context, sum to one.
+    size = len(model.voc.words)
+    assert model.parent.sum() + model.unseen == pytest.approx(1)
+    u, w = model.pairs // size, model.pairs % size
+    mass = (10 ** model.gains - 1) * model.reach[u] * model.parent[w]
+    assert np.bincount(u, mass, size) + model.reach == pytest.approx(np.ones(size))
+    # Words beyond a broadcast meet the same numbers in joins.
+    monkeypatch.setattr(language_model, "WORDS", 3)
+    model, joined = scores()
+    assert len(model.voc.words) <= 3
+    assert joined == pytest.approx(whole, rel=1e-9)
