@@ -164,3 +164,12 @@ def test_only_copied_vectors_meet_their_rows(spark, monkeypatch, most):
         (1, 1), (2, 1), (3, 3), (4, 4), (5, 1), (7, 4), (7, 4), (9, 1)]
     # Written once, however often the rows are looked up.
     assert spark.read.parquet(*p.members.inputFiles()).columns == ["id", "point"]
+
+
+@pytest.mark.parametrize("n", [600, 1800])
+def test_forests_of_packs_hold_a_few_edges_a_point(spark, n):
+    """All pairs count, so pairs of blocks would give edges that grow with the square."""
+    v = np.random.default_rng(9).normal(size=(n, 4)) + 3
+    p = neighbours.distinct_points(vectors(spark, v), "id", "v")
+    found = neighbours.pairs_within(p, neighbours.cosine_limit(0.01), "forest", 16)
+    assert n - 1 <= found.count() <= neighbours.PACKS * n
