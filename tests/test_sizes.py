@@ -173,3 +173,47 @@ def test_forests_of_packs_hold_a_few_edges_a_point(spark, n):
     p = neighbours.distinct_points(vectors(spark, v), "id", "v")
     found = neighbours.pairs_within(p, neighbours.cosine_limit(0.01), "forest", 16)
     assert n - 1 <= found.count() <= neighbours.PACKS * n
+
+
+def test_forest_looks_at_few_pairs(monkeypatch):
+    """Most of 2,000 points are within the limit of each other, but few pairs may join anything."""
+    from topicloom.functions import tiles
+    from topicloom.functions.matrices import spanning_forest
+    measured = []
+    real = tiles.exact
+    monkeypatch.setattr(tiles, "exact", lambda x, y, row, col, metric: (
+        measured.append(len(row)), real(x, y, row, col, metric))[1])
+    rng = np.random.default_rng(8)
+    v = 0.1 * rng.normal(size=(2000, 8)) + rng.normal(size=(3, 8))[rng.integers(3, size=2000)]
+    meet = Meeting([v], 512)
+    cores = rng.uniform(0, 0.1, size=(2000, 1))
+    for flat in (False, True):
+        measured.clear()
+        found, = grow_forests(meet, "euclidean", [3.0], cores, flat)
+        assert sum(measured) < 100 * 2000
+        d = np.sqrt(((meet.v[:, None] - meet.v[None]) ** 2).sum(2))
+        w = np.round(np.maximum(d, np.maximum(cores, cores.T)), 10)
+        i, j = np.nonzero(np.triu(w <= 3.0, 1))
+        kept, _ = spanning_forest(i, j, w[i, j], 2000)
+        assert len(found.weight) == len(kept)
+        if not flat:
+            assert np.allclose(np.sort(found.weight), np.sort(w[i, j][kept]), atol=1e-9)
+
+
+def test_a_token_is_hashed_once_a_batch(monkeypatch):
+    from topicloom.functions import vectors as V
+    hashed = []
+    real = V.hashlib.md5
+    monkeypatch.setattr(V.hashlib, "md5", lambda word: (hashed.append(word), real(word))[1])
+    monkeypatch.setattr(V, "TOKENS", 3)
+    got = V._hashed(4)(pa.array([["a", "b", "a"], None, [], ["b", "c", "a", "a"], ["論文"]]))
+    assert sorted(hashed) == sorted(["a".encode(), b"b", b"c", "論文".encode()])
+    want = []
+    for words in (["a", "b", "a"], [], [], ["b", "c", "a", "a"], ["論文"]):
+        row = [0.0] * 4
+        for word in words:
+            h = real(word.encode()).hexdigest()
+            row[int(h[:8], 16) % 4] += 1 if h[15] in "13579bdf" else -1
+        norm = sum(x * x for x in row) ** 0.5
+        want.append([x / norm if norm else x for x in row])
+    assert got.to_pylist() == want
