@@ -217,3 +217,26 @@ def test_a_token_is_hashed_once_a_batch(monkeypatch):
         norm = sum(x * x for x in row) ** 0.5
         want.append([x / norm if norm else x for x in row])
     assert got.to_pylist() == want
+
+
+def test_one_comparison_for_all_radii(spark, monkeypatch):
+    """density_leaves compares its points for neighbours and once more, not once a radius; a
+    sweep searches neighbours once for its configurations."""
+    from topicloom.operators import density
+    searched, met = [], []
+    real, meet = density.nearest_points, neighbours._meet
+    monkeypatch.setattr(density, "nearest_points", lambda *a: (searched.append(1), real(*a))[1])
+    monkeypatch.setattr(neighbours, "_meet", lambda *a: (met.append(1), meet(*a))[1])
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(3, 4))[rng.integers(3, size=90)] + 0.05 * rng.normal(size=(90, 4))
+    rows = vectors(spark, v)
+    found = density.density_leaves(rows, "id", "v", [1.5, 0.8, 0.3, 0.2])
+    assert found.where("cluster_id >= 0").select("cluster_id").distinct().count() == 3
+    assert (len(searched), len(met)) == (1, 3)
+    configs = [{"epsilon": 0.3}, {"epsilon": 0.2, "min_samples": 3, "min_cluster_size": 5}]
+    swept = density.sweep(rows, "id", "v", configs)
+    assert len(searched) == 2
+    for n, c in enumerate(configs):
+        alone = density.density_clusters(rows, "id", "v", **c)
+        mine = swept.where(f"config = {n}").select("id", "cluster_id")
+        assert mine.exceptAll(alone).isEmpty() and alone.exceptAll(mine).isEmpty()

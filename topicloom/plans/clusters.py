@@ -62,13 +62,15 @@ def swept(spaces: dict[int, DataFrame], doc: str, configs: Sequence[dict]) -> Da
     """(config, doc, cluster_id) of every configuration, in the space of its ``neighbors``.
 
     With ``epsilon`` a configuration asks for the clusters at one radius, without for the
-    leaves of the hierarchy, see `sweep` and `sweep_leaves`.
+    leaves of the hierarchy, see `sweep` and `sweep_leaves`. Configurations that have one
+    space in common are swept together.
     """
     runs = []
-    for neighbors, space in spaces.items():
+    for space in {id(s): s for s in spaces.values()}.values():
         for flat, sweeper in ((True, sweep), (False, sweep_leaves)):
             mine = [(n, c) for n, c in enumerate(configs)
-                    if c.get(NEIGHBORS, DEFAULT_NEIGHBORS) == neighbors and ("epsilon" in c) == flat]
+                    if spaces[c.get(NEIGHBORS, DEFAULT_NEIGHBORS)] is space
+                    and ("epsilon" in c) == flat]
             if mine:
                 found = sweeper(space, doc, "reduced", [
                     {k: x for k, x in c.items() if k != NEIGHBORS} for _, c in mine])
@@ -112,8 +114,11 @@ def run(df: DataFrame, out: str, doc: str, configs: Sequence[dict], model=None,
     if every_config and len(set(names)) < len(names):
         raise ValueError("two configurations have the same neighbors and min_cluster_size")
     docs = cut(load_embedded(df, vec), "embedded")
-    spaces = {n: cut(reduced(docs, doc, vec, reduction, n), "reduced")
-              for n in {n for n, _ in names}}
+    every = sorted({n for n, _ in names})
+    # Only the layout's space depends on the neighbours.
+    own = every if reduction == "layout" else every[:1]
+    made = {n: cut(reduced(docs, doc, vec, reduction, n), "reduced") for n in own}
+    spaces = {n: made.get(n, made[own[0]]) for n in every}
     runs = swept(spaces, doc, configs)
     best = pick_best(score_configs(runs, "config", "cluster_id"), "config").first()
     info = None
