@@ -240,3 +240,12 @@ def test_one_comparison_for_all_radii(spark, monkeypatch):
         alone = density.density_clusters(rows, "id", "v", **c)
         mine = swept.where(f"config = {n}").select("id", "cluster_id")
         assert mine.exceptAll(alone).isEmpty() and alone.exceptAll(mine).isEmpty()
+
+
+def test_listed_pairs_are_not_moved(spark):
+    """Copies go along with the points: the plan has no join of pairs."""
+    rows = vectors(spark, np.array([[1.0, 0], [1, 0], [1, 0.1], [1, 0.1], [1, 0.1], [0, 1]]))
+    found = neighbours.cosine_pairs(rows, "id", "v", 0.9)
+    assert [(r.i, r.j, r.copies_i, r.copies_j) for r in found.collect()] == [(0, 2, 2, 3)]
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.index("FlatMapGroupsInArrow") < plan.index("Join")
