@@ -249,3 +249,21 @@ def test_listed_pairs_are_not_moved(spark):
     assert [(r.i, r.j, r.copies_i, r.copies_j) for r in found.collect()] == [(0, 2, 2, 3)]
     plan = found._jdf.queryExecution().analyzed().toString()
     assert plan.index("FlatMapGroupsInArrow") < plan.index("Join")
+
+
+def test_a_vector_goes_once_to_a_part():
+    """Meetings and the rows that take part, each sent once, give what whole meetings give."""
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(40, 3))
+    worst = rng.choice([1.0, np.inf], 40)
+    meet = [(at, int(k), bool(rng.integers(2))) for at in range(30)
+            for k in rng.choice(40, rng.integers(1, 9), replace=False)]
+    at, who, new = (list(x) for x in zip(*meet))
+    meetings = pa.table({"part": [0] * len(meet), "at": at, "id": who, "new": new})
+    used = sorted(set(who), reverse=True)
+    rows = pa.table({"id": used, "v": pa.array(v[used].tolist(), pa.list_(pa.float64())),
+                     "worst": worst[used]})
+    whole = meetings.append_column("v", pa.array(v[who].tolist(), pa.list_(pa.float64())))
+    got = descent._in_part("euclidean", 3)(meetings, rows)
+    assert got.num_rows and got.equals(descent._at_points("euclidean", 3)(
+        whole.append_column("worst", pa.array(worst[who]))))
